@@ -63,3 +63,43 @@ def li_reg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                      F.array(*[F.col(c).cast("double") for c in LI_FEATURES]).alias("features"),
                      F.col("l_extendedprice").cast("double").alias("y"))
+
+
+# Total order of lineitem rows (only the full row is unique).
+LI_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
+            "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+WEAR_WINDOW = 64       # samples per lineitem window (per supplier)
+EDA_LEN = 40           # eda samples taken from each window
+LONG_WINDOW = 1024     # samples per long lineitem window (per line status: two hot subjects)
+
+
+def li_wear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wearable-style windows: per supplier, 64 consecutive lines; bvp = price,
+    acc = (quantity, discount, tax), eda = first 40 of quantity*(1-discount);
+    y = price of the next line."""
+    li = table(spark, sf_dir, "lineitem").withColumn(
+        "eda_src", F.col("l_quantity") * (1 - F.col("l_discount")))
+    w = cut_windows(li, "l_suppkey", list(LI_ORDER),
+                    ["l_extendedprice", "l_quantity", "l_discount", "l_tax", "eda_src"], WEAR_WINDOW,
+                    key_multiplier=100000, label_col="l_extendedprice")
+    return w.select("window_id", F.col("l_suppkey").alias("subject"), "blk",
+                    F.col("l_extendedprice").alias("bvp"), F.col("l_quantity").alias("acc_x"),
+                    F.col("l_discount").alias("acc_y"), F.col("l_tax").alias("acc_z"),
+                    F.slice("eda_src", 1, EDA_LEN).alias("eda"), "y")
+
+
+def li_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-rate-style windows (twelve channels) from the same lineitem windows."""
+    w = li_wear(spark, sf_dir)
+    return w.select("window_id", "subject", "blk", "y",
+                    F.col("acc_z").alias("temp"), F.col("acc_y").alias("eda"), F.col("acc_x").alias("hr"),
+                    "bvp", "acc_x", "acc_y", "acc_z", F.col("bvp").alias("ecg"), F.col("acc_x").alias("breath"),
+                    F.col("acc_z").alias("zacc_x"), F.col("acc_y").alias("zacc_y"), F.col("acc_x").alias("zacc_z"))
+
+
+def li_long(spark: SparkSession, sf_dir: str, n: int = LONG_WINDOW) -> DataFrame:
+    """Long windows of prices per line status (two subjects hold all rows)."""
+    li = table(spark, sf_dir, "lineitem").withColumn(
+        "status_id", F.when(F.col("l_linestatus") == "O", F.lit(1)).otherwise(F.lit(0)))
+    w = cut_windows(li, "status_id", list(LI_ORDER), ["l_extendedprice"], n, key_multiplier=100000)
+    return w.select("window_id", F.col("status_id").alias("subject"), "blk", F.col("l_extendedprice").alias("x"))
