@@ -82,6 +82,25 @@ def _to_batch(rows):
         "v": pa.array([np.asarray(v, dtype=np.float64) for v in rows["v"]], pa.list_(pa.float64()))})
 
 
+DIRECT_LIMIT = 1 << 23   # partial doubles (64 MiB) that may go straight to the driver
+
+
+def sum_partials(partials: DataFrame, n_parts: int, length: int) -> np.ndarray:
+    """Sum the per-task vectors of a single-group partial table.
+
+    When all partials together are small (tasks x length <= DIRECT_LIMIT) they
+    are collected and added on the driver (one stage, like treeAggregate with
+    depth 1); otherwise the bounded fan-in tree does the sums on executors."""
+    if n_parts * length <= DIRECT_LIMIT:
+        acc = np.zeros(length)
+        for r in partials.collect():
+            v = np.asarray(r["v"])
+            acc[r["chunk"] * CHUNK:r["chunk"] * CHUNK + len(v)] += v
+        return acc
+    rows = tree_sum(partials, ["grp", "chunk"], n_parts).collect()
+    return np.concatenate([np.asarray(r["v"]) for r in sorted(rows, key=lambda r: r["chunk"])])
+
+
 def tree_sum(partials: DataFrame, keys: Sequence[str], n_parts: int, value: str = "v",
              part: str = "part", fan_in: int = FAN_IN) -> DataFrame:
     """Element-wise sum of equal-length arrays per key, in rounds of bounded groups."""
@@ -103,18 +122,31 @@ class Moments:
     """Moments of z = [x - shift, y - shift_y] for one group."""
     n: float
     s: np.ndarray          # (q,) sums of z
-    G: np.ndarray          # (q, q) z'z
+    G: np.ndarray | None   # (q, q) z'z (None in the diagonal modes)
     shift: np.ndarray      # (q,) the shift used
+    diag: np.ndarray | None = None      # Σ z_j^2 (diagonal modes)
+    cross_y: np.ndarray | None = None   # Σ z_j z_last (mode diag_y)
 
     @property
     def p(self) -> int:
         return len(self.s) - 1
 
+    def _combine(self, o, sign):
+        def f(a, b):
+            return None if a is None else a + sign * b
+        return Moments(self.n + sign * o.n, self.s + sign * o.s, f(self.G, o.G), self.shift,
+                       f(self.diag, o.diag), f(self.cross_y, o.cross_y))
+
     def __add__(self, o):
-        return Moments(self.n + o.n, self.s + o.s, self.G + o.G, self.shift)
+        return self._combine(o, 1.0)
 
     def __sub__(self, o):
-        return Moments(self.n - o.n, self.s - o.s, self.G - o.G, self.shift)
+        return self._combine(o, -1.0)
+
+    def var(self) -> np.ndarray:
+        """Population variance of every column."""
+        d = self.diag if self.diag is not None else np.diag(self.G)
+        return d / self.n - (self.s / self.n) ** 2
 
     def augmented(self) -> np.ndarray:
         """(q+1 x q+1) moment matrix of [1, z]."""
@@ -134,6 +166,16 @@ class Moments:
         return self.G - np.outer(self.s, self.s) / self.n
 
 
+def _second_init(mode, q):
+    if mode == "full":
+        return np.zeros((q, q))
+    if mode == "diag":
+        return np.zeros(q)
+    if mode == "diag_y":
+        return [np.zeros(q), np.zeros(q)]
+    return None
+
+
 def _unpack(vec: np.ndarray, q: int, shift: np.ndarray) -> Moments:
     n = vec[0]
     s = vec[1:1 + q]
@@ -154,6 +196,9 @@ def moment_sums(df: DataFrame, features, label: str | None, group: str | None =
                 weight: str | None = None) -> dict[int, Moments]:
     """Per-group moments of [features, label] in one distributed pass.
 
+    ``second_order``: True / "full" (Gramian), "diag" (Σ z^2 per column),
+    "diag_y" (Σ z^2 and Σ z * label per column), False (first order only).
+
     ``shift='mean'`` first computes global means (a cheap first-order pass) so
     that the Gramian is formed about the mean (no cancellation later when
     fold statistics are subtracted from totals).  Returns {group id: Moments};
@@ -161,6 +206,7 @@ def moment_sums(df: DataFrame, features, label: str | None, group: str | None =
     """
     if isinstance(shift, str) and shift == "mean":
         shift = column_means(df, features, label)
+    mode = {True: "full", False: "none"}.get(second_order, second_order)
     cols = [features] if isinstance(features, str) else list(features)
     keep = cols + ([label] if label else []) + ([group] if group else []) + ([weight] if weight else [])
     data = df.select(*keep)
@@ -183,24 +229,28 @@ def moment_sums(df: DataFrame, features, label: str | None, group: str | None =
                 Zg = Z[g == gid]
                 q = Zg.shape[1]
                 if gid not in acc:
-                    acc[gid] = [0.0, np.zeros(q), np.zeros((q, q)) if second_order else None]
+                    acc[gid] = [0.0, np.zeros(q), _second_init(mode, q)]
                 a = acc[gid]
-                if w is None:
-                    a[0] += len(Zg)
-                    a[1] += Zg.sum(axis=0)
-                    if second_order:
-                        a[2] += Zg.T @ Zg
-                else:
-                    wg = w[g == gid]
-                    a[0] += wg.sum()
-                    a[1] += wg @ Zg
-                    if second_order:
-                        a[2] += (Zg * wg[:, None]).T @ Zg
+                wg = None if w is None else w[g == gid]
+                a[0] += len(Zg) if wg is None else wg.sum()
+                a[1] += Zg.sum(axis=0) if wg is None else wg @ Zg
+                Zw = Zg if wg is None else Zg * wg[:, None]
+                if mode == "full":
+                    a[2] += Zw.T @ Zg
+                elif mode == "diag":
+                    a[2] += (Zw * Zg).sum(axis=0)
+                elif mode == "diag_y":
+                    a[2][0] += (Zw * Zg).sum(axis=0)
+                    a[2][1] += Zw.T @ Zg[:, -1]
         for gid, (n, s, G) in acc.items():
             q = len(s)
             parts = [np.array([n]), s]
-            if second_order:
+            if mode == "full":
                 parts.append(G[np.triu_indices(q)])
+            elif mode == "diag":
+                parts.append(G)
+            elif mode == "diag_y":
+                parts += [G[0], G[1]]
             yield _to_batch(_emit(gid, np.concatenate(parts), pid))
 
     n_parts = data.rdd.getNumPartitions()
@@ -213,7 +263,14 @@ def moment_sums(df: DataFrame, features, label: str | None, group: str | None =
     out = {}
     for gid, chunks in by_grp.items():
         vec = np.concatenate([np.asarray(v) for _, v in sorted(chunks)])
-        if second_order:
+        if mode in ("diag", "diag_y"):
+            k = 2 if mode == "diag" else 3
+            q = (len(vec) - 1) // k
+            m = Moments(float(vec[0]), vec[1:1 + q].copy(), None, sh if sh is not None else np.zeros(q))
+            m.diag = vec[1 + q:1 + 2 * q].copy()
+            m.cross_y = vec[1 + 2 * q:1 + 3 * q].copy() if mode == "diag_y" else None
+            out[gid] = m
+        elif mode == "full":
             # length = 1 + q + q(q+1)/2
             q = int((-3 + math.isqrt(9 + 8 * (len(vec) - 1))) // 2)
             out[gid] = _unpack(vec, q, sh if sh is not None else np.zeros(q))
