@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pulsegrid.plans import q_io, q_models, q_prep, q_signal, q_stats  # noqa: F401
+from pulsegrid.plans import q_flagship, q_io, q_models, q_prep, q_signal, q_stats  # noqa: F401
 from pulsegrid.plans.registry import ORACLES, QUERIES
 
 
 def flagship(spark, sf_dir):
-    return QUERIES["stat_mean"](spark, sf_dir)
+    return QUERIES["flagship_window_model"](spark, sf_dir)
 
 
 __all__ = ["QUERIES", "ORACLES", "flagship"]

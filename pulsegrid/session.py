@@ -27,6 +27,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
           .config("spark.sql.session.timeZone", "UTC"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local") and not os.environ.get("PULSEGRID_DRIVER_MEMORY") == "":
+        # local mode: the driver JVM is the only executor; the cluster sets its own sizes
+        b = b.config("spark.driver.memory", os.environ.get("PULSEGRID_DRIVER_MEMORY", "16g"))
     spark = b.getOrCreate()
     ensure_checkpoint_dir(spark)
     return spark
