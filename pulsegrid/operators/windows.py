@@ -98,3 +98,47 @@ def cut_windows(samples: DataFrame, subject: str, order_cols: Sequence[str], val
     if label_col:
         win = win.join(lab, [subject, "blk"], "left")
     return win
+
+
+def running_count(df: DataFrame, order_cols: Sequence[str], flag: str, out: str = "before",
+                  partition_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+    """Number of rows with ``flag`` = 1 strictly before each row, in the total
+    order of ``order_cols`` (restarting per partition group).
+
+    Same plan as ``with_row_index``: range exchange + sort, tagged and
+    checkpointed once; a per-partition cumulative sum (Arrow kernel over the
+    sorted partition) plus the flags of earlier partitions (one row per
+    partition) and, per group, the count before the group's first row."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    keys = list(partition_cols) + list(order_cols)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    fields = list(ranged.schema.fields) + [T.StructField("_pid", T.LongType()), T.StructField("_cum", T.LongType())]
+    schema = T.StructType(fields)
+
+    def kern(batches):
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        run = 0
+        for b in batches:
+            fl = np.asarray(b.column(b.schema.get_field_index(flag)).to_numpy(zero_copy_only=False), dtype=np.int64)
+            cum = run + np.concatenate([[0], np.cumsum(fl)[:-1]]) if len(fl) else np.zeros(0, np.int64)
+            run += int(fl.sum())
+            cols = list(b.columns) + [pa.array(np.full(len(fl), pid, np.int64)), pa.array(cum.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
+    tagged = ranged.mapInArrow(kern, schema).checkpoint(eager=True)
+    sums = tagged.groupBy("_pid").agg(F.sum(F.col(flag).cast("long")).alias("_s"))
+    offs = sums.select("_pid", F.coalesce(F.sum("_s").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    g = tagged.join(F.broadcast(offs), "_pid").withColumn("_glob", F.col("_off") + F.col("_cum"))
+    if partition_cols:
+        starts = g.groupBy(*partition_cols).agg(F.min("_glob").alias("_g0"))
+        g = g.join(starts, list(partition_cols)).withColumn(out, F.col("_glob") - F.col("_g0")).drop("_g0")
+    else:
+        g = g.withColumn(out, F.col("_glob"))
+    return g.drop("_pid", "_cum", "_off", "_glob")

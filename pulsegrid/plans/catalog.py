@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulsegrid.plans import q_flagship, q_io, q_models, q_prep, q_signal, q_stats  # noqa: F401
+from pulsegrid.plans import q_flagship, q_io, q_models, q_prep, q_protocols, q_signal, q_stats  # noqa: F401
 from pulsegrid.plans.registry import ORACLES, QUERIES
 
 
