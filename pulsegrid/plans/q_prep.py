@@ -161,7 +161,9 @@ def q_grid(spark, sf_dir):
                                  "pos int, alpha double, mean_mae double, best boolean")
 
 
-@register("fscore_all", None)
+@register("fscore_all", LI_SQL + """SELECT pos::BIGINT AS pos, """ + R("r * r / (1 - r * r) * (n - 2)") + """ AS fscore
+FROM (SELECT 0 AS pos, corr(x0, y) AS r, count(*) AS n FROM d UNION ALL SELECT 1, corr(x1, y), count(*) FROM d
+      UNION ALL SELECT 2, corr(x2, y), count(*) FROM d) t""")
 def q_fscore_all(spark, sf_dir):
     """T4 scores for the lineitem features (one moments pass)."""
     f, n = f_scores(li_reg(spark, sf_dir), "features", "y")
