@@ -52,13 +52,19 @@ def validation_rows(df: DataFrame, fold: str, k: int) -> DataFrame:
     return df.filter(F.col(fold) == k)
 
 
+SAMPLE_BROADCAST_ROWS = 1_000_000
+
+
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """Exactly n rows (all if fewer), chosen by the seeded hash of the key.
 
-    A take-ordered (top-n by hash, key as tie-break): every task keeps its own
-    n best and one merge keeps n, so the sample is exact and repeatable."""
-    return (df.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))))
-              .orderBy("_h", key).limit(n).drop("_h"))
+    Only (hash, key) pairs are take-ordered (each task keeps its n best pairs,
+    one merge keeps n), then the rows are fetched by a semi join whose key side
+    is bounded by n; wide rows never pile up in one task."""
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    keys = df.select(key, h.alias("_h")).orderBy("_h", key).limit(n).select(key)
+    side = F.broadcast(keys) if n <= SAMPLE_BROADCAST_ROWS else keys   # bounded by n, not by the data
+    return df.join(side, key, "left_semi")
 
 
 def split_random(df: DataFrame, key: str, fraction: float, seed: int = 42, out: str = "split") -> DataFrame:

@@ -106,9 +106,12 @@ def ridge_cv(df: DataFrame, features, label: str, fold: str, grid: Sequence[tupl
         errs = []
         for k in folds:
             train = tot - mom[k]
-            b, w = solve_ridge(train, float(lam))
             sst = sst_from_moments(mom[k])
-            e = sse_from_moments(mom[k], b, w) / sst if sst > 0 else float("nan")
+            try:
+                b, w = solve_ridge(train, float(lam))
+                e = sse_from_moments(mom[k], b, w) / sst if sst > 0 and train.n > 0 else float("nan")
+            except np.linalg.LinAlgError:      # no or degenerate training rows: this fold cannot score
+                e = float("nan")
             errs.append(e)
             rows.append((pos, raw, float(lam), int(k), float(e)))
         means.append(float(np.mean(errs)) if errs else float("nan"))

@@ -11,7 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import math
+
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -289,6 +292,9 @@ class SelectedModel(Model, _ArrayStage):
         return {"indices": self.indices.astype(float)}
 
 
+SAMPLE_ROWS_PER_TASK = 25_000
+
+
 class LassoSelector(Estimator, _ArrayStage):
     """Fit a lasso on at most ``sample`` rows (exact seeded sample), keep the
     ``k`` largest |coef| (ties: lower index), output in index order."""
@@ -304,7 +310,13 @@ class LassoSelector(Estimator, _ArrayStage):
         from pulsegrid.operators.folds import sample_n
         from pulsegrid.operators.linear import fit_lasso
         sub = sample_n(df.select(self.keyCol, self.inputCol, self.labelCol), self.sample, self.keyCol, self.seed)
-        model = fit_lasso(sub, self.inputCol, self.labelCol, self.alpha)
+        # the sample is bounded; a few tasks share the Gramian work, each partial is p^2/2 doubles
+        parts = max(1, math.ceil(self.sample / SAMPLE_ROWS_PER_TASK))
+        sub = sub.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = fit_lasso(sub, self.inputCol, self.labelCol, self.alpha)
+        finally:
+            sub.unpersist()
         coef = np.abs(model.coef)
         p = len(coef)
         if p <= self.k:

@@ -6,6 +6,7 @@ Regression tables: ``li_reg`` (lineitem: quantity, discount, tax -> price) and
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import arrays as A
@@ -195,10 +196,34 @@ def q_fold_ranges(spark, sf_dir):
                                  F.max("event_id").alias("last_event"))
 
 
-@register("ridge_cv_ranges", None)
+# Fold ends as shares of the window count (rows past the last end are in no fold).
+RANGE_SHARES = (0.2, 0.4, 0.6, 0.8, 0.95)
+
+
+def _cv_ranges_sql():
+    w, b = ridge_solution(2, "g.lam")
+    case = " ".join(f"WHEN idx < floor(n * {f}) THEN {k}" for k, f in enumerate(RANGE_SHARES))
+    return EVREG_SQL + f""", dr AS (SELECT window_id, x0, x1, y, CASE {case} END AS fold
+       FROM (SELECT *, row_number() OVER (ORDER BY window_id) - 1 AS idx, count(*) OVER () AS n FROM d) t),
+g AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{r}', {float(r)})" for i, r in enumerate(GRID_RAW))}) t(pos, raw, lam)),
+fk AS (SELECT DISTINCT fold AS k FROM dr WHERE fold IS NOT NULL),
+tr AS (SELECT fk.k, {scatter_select(['dr.x0', 'dr.x1'], 'dr.y')} FROM fk JOIN dr ON dr.fold IS NULL OR dr.fold <> fk.k
+       GROUP BY fk.k),
+sol AS (SELECT g.pos, g.raw, g.lam, tr.k, {w[0]} AS w0, {w[1]} AS w1,
+               {b.replace('my', 'tr.my').replace('m0', 'tr.m0').replace('m1', 'tr.m1')} AS b FROM tr, g),
+va AS (SELECT sol.pos, sol.raw, sol.k, sum(power(dr.y - sol.b - sol.w0 * dr.x0 - sol.w1 * dr.x1, 2)) AS sse,
+              sum(power(dr.y - yb.ym, 2)) AS sst
+       FROM sol JOIN dr ON dr.fold = sol.k JOIN (SELECT fold, avg(y) AS ym FROM dr GROUP BY fold) yb ON yb.fold = sol.k
+       GROUP BY sol.pos, sol.raw, sol.k)
+SELECT pos::BIGINT AS pos, raw, k::BIGINT AS fold, {R('sse / sst')} AS nmse FROM va"""
+
+
+@register("ridge_cv_ranges", _cv_ranges_sql())
 def q_ridge_cv_ranges(spark, sf_dir):
-    """E4 with given fold ranges over the window index (rows past the last end always train)."""
+    """E4 with given fold ranges (cumulative ends) over the window index; rows
+    past the last end always train."""
     d = with_row_index(ev_reg(spark, sf_dir).drop("fold"), ["window_id"], "idx")
-    d = d.withColumn("fold", FO.range_fold_expr("idx", (100, 200, 300, 400, 500)))
+    n = d.count()
+    d = d.withColumn("fold", FO.range_fold_expr("idx", [int(np.floor(n * f)) for f in RANGE_SHARES]))
     rows, means, best, model = ridge_cv(d, "features", "y", "fold", GRID)
     return spark.createDataFrame([(r[0], r[1], r[3], r[4]) for r in rows], "pos int, raw string, fold int, nmse double")

@@ -24,6 +24,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+          # Arrow batches of windows: rows x samples stays small even for 250 Hz channels
+          .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
           .config("spark.sql.session.timeZone", "UTC"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
