@@ -18,44 +18,114 @@ from pulsegrid.session import ensure_checkpoint_dir
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row_in_partition
 
 
-def with_row_index(df: DataFrame, order_cols: Sequence[str], index_col: str = "row_index",
-                   partition_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
-    """Contiguous 0-based index in the total order of ``order_cols``.
-
-    With ``partition_cols`` the index restarts at 0 for every group (the rows
-    of a group are still spread over many tasks).  The order columns must make
-    the order total, or the index is not repeatable.
+def _ranged_scan(df: DataFrame, keys: Sequence[str], groups: Sequence[str], flag: str | None,
+                 out: str, num_partitions: int | None) -> DataFrame:
+    """Shared plan of ``with_row_index`` and ``running_count``.
+
+    1. range exchange on ``keys`` + sort within partitions (a hot group spreads
+       over many tasks);
+    2. one Arrow pass over each sorted partition: for every row the flagged
+       rows before it within its run of equal group keys (a run is a group's
+       stretch inside one partition); the tagged rows are checkpointed once
+       (range bounds are re-sampled on every evaluation);
+    3. a summary of two rows per partition (its first and last row) goes to
+       the driver, which chains the carry-in of every partition: the flagged
+       rows of its first group that lie in earlier partitions;
+    4. the carries (one row per partition) are broadcast and added.
+    No shuffle beyond the range exchange, no join on the group key."""
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+    from pyspark.sql import types as T
 
-    Plan: range exchange + sort within partitions, tagged and checkpointed
-    once → per-partition row counts
-    (one row per partition, broadcast; its size is the partition count, not the
-    data) → global index = partition offset + row position in the partition.
-    Per group, the first global index comes from a partial (map-side) min.
-    """
-    keys = list(partition_cols) + list(order_cols)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    # Range bounds are sampled with a seed that changes per evaluation, so the
-    # tagged rows are evaluated once and written to the shared checkpoint folder.
-    mid = ranged.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
-    mid = (mid.withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
-              .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))))
-    counts = mid.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.select(
-        "_pid", (F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"))
-    offsets = offsets.fillna(0, subset=["_off"])
-    out = (mid.join(F.broadcast(offsets), "_pid")
-              .withColumn("_gidx", F.col("_off") + F.col("_loc")))
-    if partition_cols:
-        starts = out.groupBy(*partition_cols).agg(F.min("_gidx").alias("_g0"))
-        out = (out.join(starts, list(partition_cols))
-                  .withColumn(index_col, F.col("_gidx") - F.col("_g0")).drop("_g0"))
-    else:
-        out = out.withColumnRenamed("_gidx", index_col)
-    return out.drop("_mid", "_pid", "_loc", "_off", "_cnt", "_gidx")
+    extra = [T.StructField("_pid", T.LongType()), T.StructField("_cum", T.LongType()),
+             T.StructField("_first", T.BooleanType()), T.StructField("_edge", T.IntegerType()),
+             T.StructField("_runv", T.LongType())]
+    schema = T.StructType(list(ranged.schema.fields) + extra)
+    names = [f.name for f in schema.fields]
+    groups = list(groups)
+
+    def kern(batches):
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        prev_key, run_id, run_v = None, -1, 0
+        pending = None
+        for b in batches:
+            m = b.num_rows
+            if m == 0:
+                continue
+            v = (np.asarray(b.column(b.schema.get_field_index(flag)).to_numpy(zero_copy_only=False), dtype=np.int64)
+                 if flag else np.ones(m, dtype=np.int64))
+            if groups:
+                kdf = pd.DataFrame({g: b.column(b.schema.get_field_index(g)).to_pandas() for g in groups})
+                start = (kdf != kdf.shift()).any(axis=1).to_numpy()
+                start[0] = run_id < 0 or tuple(kdf.iloc[0]) != prev_key
+                prev_key = tuple(kdf.iloc[-1])
+            else:
+                start = np.zeros(m, dtype=bool)
+                start[0] = run_id < 0
+            run_idx = run_id + np.cumsum(start)
+            excl = np.cumsum(v) - v                           # flagged rows before, within the batch
+            last_start = np.maximum.accumulate(np.where(start, np.arange(m), -1))
+            cum = np.where(last_start >= 0, excl - excl[np.maximum(last_start, 0)], excl + run_v)
+            run_v = int(cum[-1] + v[-1])
+            run_id = int(run_idx[-1])
+            cols = list(b.columns) + [pa.array(np.full(m, pid, np.int64)), pa.array(cum.astype(np.int64)),
+                                      pa.array(run_idx == 0), pa.array(np.zeros(m, np.int32)),
+                                      pa.array(np.zeros(m, np.int64))]
+            batch = pa.RecordBatch.from_arrays(cols, names=names)
+            if pending is None:
+                e = np.zeros(m, np.int32)
+                e[0] = 1
+                batch = batch.set_column(names.index("_edge"), "_edge", pa.array(e))
+            else:
+                yield pending
+            pending = batch
+        if pending is not None:   # mark the partition's last row (2, or 3 when it is also the first)
+            e = pending.column(names.index("_edge")).to_numpy(zero_copy_only=False).copy()
+            e[-1] = e[-1] + 2
+            rv = np.zeros(pending.num_rows, np.int64)
+            rv[-1] = run_v
+            pending = pending.set_column(names.index("_edge"), "_edge", pa.array(e.astype(np.int32)))
+            pending = pending.set_column(names.index("_runv"), "_runv", pa.array(rv))
+            yield pending
+
+    tagged = ranged.mapInArrow(kern, schema).checkpoint(eager=True)
+    edges = tagged.filter(F.col("_edge") > 0).select("_pid", "_edge", "_first", "_runv", *groups).collect()
+    info = {}
+    for r in edges:
+        d = info.setdefault(r["_pid"], {})
+        key = tuple(r[g] for g in groups)
+        if r["_edge"] & 1:
+            d["first_key"] = key
+        if r["_edge"] & 2:
+            d["last_key"], d["last_runv"], d["single"] = key, r["_runv"], bool(r["_first"])
+    carry, prev = {}, None
+    for pid in sorted(info):
+        d = info[pid]
+        c = 0
+        if prev is not None and (not groups or d["first_key"] == prev["last_key"]):
+            c = prev["last_runv"] + (prev["carry"] if prev["single"] else 0)
+        d["carry"] = c
+        carry[pid] = c
+        prev = d
+    ctab = spark.createDataFrame([(int(k), int(v)) for k, v in carry.items()] or [(0, 0)], "_pid long, _carry long")
+    res = tagged.join(F.broadcast(ctab), "_pid")        # one row per partition
+    val = F.col("_cum") + F.when(F.col("_first"), F.col("_carry")).otherwise(F.lit(0))
+    return res.withColumn(out, val.cast("long")).drop("_pid", "_cum", "_first", "_edge", "_runv", "_carry")
+
+
+def with_row_index(df: DataFrame, order_cols: Sequence[str], index_col: str = "row_index",
+                   partition_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+    """Contiguous 0-based index in the total order of ``order_cols``
+    (restarting per group of ``partition_cols``; a group's rows still spread
+    over many tasks).  The order must be total, or the index is not repeatable."""
+    keys = list(partition_cols) + list(order_cols)
+    return _ranged_scan(df, keys, partition_cols, None, index_col, num_partitions)
 
 
 def _field(name):
@@ -102,43 +172,8 @@ def cut_windows(samples: DataFrame, subject: str, order_cols: Sequence[str], val
 
 def running_count(df: DataFrame, order_cols: Sequence[str], flag: str, out: str = "before",
                   partition_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
-    """Number of rows with ``flag`` = 1 strictly before each row, in the total
-    order of ``order_cols`` (restarting per partition group).
-
-    Same plan as ``with_row_index``: range exchange + sort, tagged and
-    checkpointed once; a per-partition cumulative sum (Arrow kernel over the
-    sorted partition) plus the flags of earlier partitions (one row per
-    partition) and, per group, the count before the group's first row."""
-    import numpy as np
-    import pyarrow as pa
-    from pyspark.sql import types as T
-
+    """Rows with ``flag`` = 1 strictly before each row in the total order of
+    ``order_cols`` (restarting per group of ``partition_cols``); same plan as
+    ``with_row_index``."""
     keys = list(partition_cols) + list(order_cols)
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    fields = list(ranged.schema.fields) + [T.StructField("_pid", T.LongType()), T.StructField("_cum", T.LongType())]
-    schema = T.StructType(fields)
-
-    def kern(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        run = 0
-        for b in batches:
-            fl = np.asarray(b.column(b.schema.get_field_index(flag)).to_numpy(zero_copy_only=False), dtype=np.int64)
-            cum = run + np.concatenate([[0], np.cumsum(fl)[:-1]]) if len(fl) else np.zeros(0, np.int64)
-            run += int(fl.sum())
-            cols = list(b.columns) + [pa.array(np.full(len(fl), pid, np.int64)), pa.array(cum.astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
-    tagged = ranged.mapInArrow(kern, schema).checkpoint(eager=True)
-    sums = tagged.groupBy("_pid").agg(F.sum(F.col(flag).cast("long")).alias("_s"))
-    offs = sums.select("_pid", F.coalesce(F.sum("_s").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    g = tagged.join(F.broadcast(offs), "_pid").withColumn("_glob", F.col("_off") + F.col("_cum"))
-    if partition_cols:
-        starts = g.groupBy(*partition_cols).agg(F.min("_glob").alias("_g0"))
-        g = g.join(starts, list(partition_cols)).withColumn(out, F.col("_glob") - F.col("_g0")).drop("_g0")
-    else:
-        g = g.withColumn(out, F.col("_glob"))
-    return g.drop("_pid", "_cum", "_off", "_glob")
+    return _ranged_scan(df, keys, partition_cols, flag, out, num_partitions)

@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import uuid
+
 import numpy as np
 import pytest
 
@@ -33,7 +35,7 @@ def test_npz_directory(spark):
 def test_model_protocol_guard(spark):
     from pulsegrid.session import scratch_path
     from pulsegrid.sources.files import load_model, save_model
-    path = scratch_path(spark, "model-guard")
+    path = scratch_path(spark, "model-guard-" + uuid.uuid4().hex[:10])
     save_model(spark, {"protocol": "d2", "intercept": 1.5, "coef": [1.0, 2.0], "feature_names": ["a", "b"],
                        "stages": [("scaler", {"mean": np.array([0.0, 1.0]), "std": np.array([1.0, 2.0])})]}, path)
     st = load_model(spark, path, "d2")
@@ -47,11 +49,11 @@ def test_grid_and_vectors(spark):
     from pulsegrid.operators.checks import check_lines
     from pulsegrid.session import scratch_path
     from pulsegrid.sources.files import _lines, read_grid, read_vector
-    g = scratch_path(spark, "grid-t")
+    g = scratch_path(spark, "grid-t-" + uuid.uuid4().hex[:10])
     spark.createDataFrame([("0",), ("",), (" 1e2 ",), ("0.10",)], "value string").coalesce(1).write.text(g)
     rows = read_grid(spark, g).orderBy("pos").collect()
     assert [r.raw for r in rows] == ["0", "1e2", "0.10"] and rows[1].lam == 100.0
-    v = scratch_path(spark, "vec-t")
+    v = scratch_path(spark, "vec-t-" + uuid.uuid4().hex[:10])
     spark.createDataFrame([("1.5",), ("2 3",), ("x",), ("nan",)], "value string").coalesce(1).write.text(v)
     vec, viol = read_vector(spark, v)
     assert viol.count() == 3
@@ -63,11 +65,11 @@ def test_fold_file_forms(spark):
     from pulsegrid.session import scratch_path
     from pulsegrid.sources.files import read_folds
     idx = with_row_index(spark.range(10).withColumnRenamed("id", "k"), ["k"])
-    f1 = scratch_path(spark, "f1")
+    f1 = scratch_path(spark, "f1-" + uuid.uuid4().hex[:10])
     spark.createDataFrame([("folds = [3, 6, 8]",)], "value string").coalesce(1).write.text(f1)
     got = {r.k: r.fold for r in read_folds(spark, f1, idx).collect()}
     assert [got[i] for i in range(10)] == [0, 0, 0, 1, 1, 1, 2, 2, None, None]
-    f2 = scratch_path(spark, "f2")
+    f2 = scratch_path(spark, "f2-" + uuid.uuid4().hex[:10])
     spark.createDataFrame([("0, 1 2",), ("0 1,2, 0",), ("1 2 0",)], "value string").coalesce(1).write.text(f2)
     got = {r.k: r.fold for r in read_folds(spark, f2, idx).collect()}
     assert [got[i] for i in range(10)] == [0, 1, 2, 0, 1, 2, 0, 1, 2, 0]

@@ -1,5 +1,7 @@
 """Streaming scoring applies the same column plan as the batch path."""
 
+import uuid
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ def test_stream_scores_equal_batch(spark):
     feats = {"mean": A.arr_mean("x"), "std": A.arr_std("x")}
     batch = w.withColumn("features", F.array(*feats.values()))
     model = fit_ols(batch, "features", "y")
-    src, out, ck = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
+    src, out, ck = scratch_path(spark, "stream-in-" + uuid.uuid4().hex[:10]), scratch_path(spark, "stream-out-" + uuid.uuid4().hex[:10]), scratch_path(spark, "stream-ck-" + uuid.uuid4().hex[:10])
     w.repartition(3).write.parquet(src)
     stream = read_window_stream(spark, src, w.schema, max_files_per_trigger=1)
     q = write_scores(score_stream(stream, model, None, feature_exprs=feats), out, ck, trigger_once=True)
