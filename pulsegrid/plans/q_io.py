@@ -94,9 +94,6 @@ def _cv_files(spark, sf_dir):
     return grid, IO.read_cv_table(spark, cpath), spark.read.text(bpath), best
 
 
-_CV_SQL = None
-
-
 def _cv_sql(tail):
     from pulsegrid.plans.q_models import _cv_sql as base
     return base(tail)
