@@ -143,3 +143,28 @@ def test_mutual_info_matches_brute_force(spark):
     assert len(np.unique(y)) == len(y)
     got = mi_scores(w, "f", "lab", block=8)
     np.testing.assert_allclose(got, mi_brute(X, y), rtol=1e-9, atol=1e-12)
+
+
+def test_protocol_chains_side_by_side_equal_one_alone(spark):
+    """Part d fits its fold chains concurrently; the refit chain must equal
+    the same chain fitted on its own."""
+    from conftest import SMALL
+    from pulsegrid.operators import folds as FO
+    from pulsegrid.operators.features import MULTIRATE_NAMES, features_multirate
+    from pulsegrid.plans.protocols import _state, fit_stages, train_protocol
+    from pulsegrid.sources.tables import li_multi
+    base = li_multi(spark, SMALL).filter(F.col("y").isNotNull())
+    feats = features_multirate(base).join(base.select("window_id", "y"), "window_id")
+    st = train_protocol(feats, "d2")
+    data = feats.select("window_id", "features", "y").withColumn("fold", FO.fold_expr("window_id", 3, 42))
+    alone, names, _ = fit_stages(data, "d2", "features", "y", MULTIRATE_NAMES)
+    assert names == st["feature_names"]
+    assert [n for n, _ in alone] == [n for n, _ in st["stages"]]
+    for (_, a), (_, b) in zip(alone, st["stages"]):
+        sa = _state(a)
+        assert sa.keys() == b.keys()
+        for k in sa:       # selections exact; fitted statistics up to summation order
+            if k == "indices":
+                np.testing.assert_array_equal(np.asarray(sa[k]), np.asarray(b[k]))
+            else:
+                np.testing.assert_allclose(np.asarray(sa[k]), np.asarray(b[k]), rtol=1e-9, atol=1e-15)
