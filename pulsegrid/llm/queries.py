@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import chat_format, exact_dedup, kd_shards
+from pulsegrid.llm import chat_format, exact_dedup, kd_shards, packing, token_store
 from pulsegrid.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.store_digest(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -23,5 +27,9 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_kd_shards, op7_exact_dedup, op9_chat_format)}
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_kd_shards, op3_token_store, op7_exact_dedup, op9_chat_format, op10_packing)}
 ORACLES = {"op7_exact_dedup": exact_dedup.SQL, "op9_chat_format": chat_format.SQL}
