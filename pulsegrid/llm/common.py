@@ -56,9 +56,8 @@ class BoundedMap(dict):
         self.compute, self.limit, self.old = compute, limit, {}
 
     def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.compute(key)
+        old = self.old
+        value = old[key] if key in old else self.compute(key)
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()

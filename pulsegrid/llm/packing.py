@@ -25,7 +25,7 @@ SEQUENCE = 2048
 END_ID = 1
 SENTENCE_COST = 2
 HARD_COST = 8
-STRETCH, STEP = 32, 4     # stretches longer than STRETCH ids without an end mark may be cut every STEP ids
+STRETCH, STEP = 32, 8     # stretches longer than STRETCH ids without an end mark may be cut every STEP ids
 CHUNK = 1 << 18           # ids planned at once; the last window of a plan joins the next plan
 
 _SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
@@ -35,16 +35,16 @@ _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
 
 def candidates(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted cut positions in 1..total with their penalties (``total`` itself is free)."""
-    soft = np.unique(np.concatenate([[0], sentence_ends, doc_ends, [total]])).astype(np.int64)
-    gaps = np.diff(soft)
-    wide = np.flatnonzero(gaps > STRETCH)
-    hard = [np.arange(soft[i] + STEP, soft[i + 1], STEP) for i in wide]
-    pos = np.unique(np.concatenate([soft[1:], *hard]))
-    cost = np.full(len(pos), HARD_COST, np.int64)
-    cost[np.isin(pos, sentence_ends)] = SENTENCE_COST
-    cost[np.isin(pos, doc_ends)] = 0
-    cost[pos == total] = 0
-    return pos, cost
+    none = HARD_COST + 1
+    at = np.full(total + 1, none, np.int64)
+    at[sentence_ends] = SENTENCE_COST
+    at[doc_ends] = 0
+    at[[0, total]] = 0
+    soft = np.flatnonzero(at < none)
+    for i in np.flatnonzero(np.diff(soft) > STRETCH):
+        at[soft[i] + STEP:soft[i + 1]:STEP] = HARD_COST
+    pos = np.flatnonzero(at < none)[1:]
+    return pos, at[pos]
 
 
 def plan_cuts(pos: np.ndarray, cost: np.ndarray, size: int = SEQUENCE) -> list[int]:

@@ -8,13 +8,18 @@ it, so a text's ids are the ids of its white-space separated words in a row.
 from __future__ import annotations
 
 import os
+import string
 from array import array
 
 from pulsegrid.llm.common import BoundedMap, worker_state
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 LONG_WORD = 64            # longer words are encoded without being kept
-_ENDS = b".,;:!?"
+_ENDS = string.punctuation.replace("'", "").encode()   # a run of these is one pre-token
+_LATIN = "\u00ff"         # up to here a text is its own NFC form and lower-cases letter by letter
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+# byte-level BPE writes a printable byte as itself, the k-th other byte as chr(256 + k)
+_BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
@@ -27,10 +32,11 @@ def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
 class WordEncoder:
     """``encode(raw bytes) -> little-endian unsigned 32-bit ids`` of one whole text."""
 
-    def __init__(self, name: str, limit: int = 200_000):
+    def __init__(self, name: str, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # one thread a task
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocabulary_path(name))
+        self.model = self.tokenizer.model
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words = BoundedMap(self._word, limit)
         self.short = BoundedMap(self._ids, limit // 4)
@@ -40,11 +46,17 @@ class WordEncoder:
         return array("I", ids).tobytes()
 
     def _word(self, word: bytes) -> bytes:
-        # letters followed by end marks are two pre-tokens, so their ids are joined
+        if word.isalpha():                        # lower-case ASCII letters: one pre-token as it stands
+            return array("I", [t.id for t in self.model.tokenize(word.decode("ascii"))]).tobytes()
+        # letters followed by marks are two pre-tokens, so their ids are joined
         base = word.rstrip(_ENDS)
-        if base and len(base) < len(word) and base.decode("utf-8", "replace").isalpha():
+        text = base.decode("utf-8", "replace")
+        if not text.isalpha() or max(text) > _LATIN:
+            return self._ids(word)
+        if len(base) < len(word):
             return self.words[base] + self.short[word[len(base):]]
-        return self._ids(word)
+        letters = text.lower().encode().decode("latin-1").translate(_BYTE_CHARS)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def encode(self, raw: bytes | None) -> bytes:
         if not raw:
