@@ -34,6 +34,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, cols: list[str], n: int) -> DataFrame:
+    """At most ``n`` rows, chosen by a hash of ``cols``; few more ever meet in one task."""
+    total = df.count()
+    if total <= n:
+        return df
+    h = F.pmod(F.xxhash64(*cols), F.lit(1 << 30))
+    return df.filter(h < int((1 << 30) * min(1.0, 1.25 * n / total))).orderBy(h, *cols).limit(n)
+
+
 def crc_text(id_col) -> "F.Column":
     """crc32 of the id written as text (what the folds are cut by)."""
     return F.crc32(F.col(id_col).cast("string").cast("binary"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import chat_format, exact_dedup, kd_shards, packing, token_store
+from pulsegrid.llm import chat_format, exact_dedup, kd_shards, near_dedup, packing, token_store
 from pulsegrid.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), width=3, percent=85, bands=24, rows=5)
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(table(spark, sf_dir, "conversations"))
 
@@ -31,5 +35,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_kd_shards, op3_token_store, op7_exact_dedup, op9_chat_format, op10_packing)}
-ORACLES = {"op7_exact_dedup": exact_dedup.SQL, "op9_chat_format": chat_format.SQL}
+QUERIES = {f.__name__: f for f in (op1_kd_shards, op3_token_store, op7_exact_dedup, op8_odd_sketch, op9_chat_format, op10_packing)}
+ORACLES = {"op7_exact_dedup": exact_dedup.SQL, "op8_odd_sketch": near_dedup.SQL,
+           "op9_chat_format": chat_format.SQL}

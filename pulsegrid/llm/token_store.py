@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pulsegrid.llm.common import text_bytes
+from pulsegrid.llm.common import hash_sample, text_bytes
 from pulsegrid.llm.tokens import DEFAULT_VOCABULARY, encoder
 from pulsegrid.session import scratch_path
 
@@ -52,14 +52,14 @@ def _zdict(raw: bytes):
 
 def train_dictionary(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, id_col: str = "doc_id",
                      text_col: str = "text") -> bytes:
-    """Dictionary of serialised id arrays of a bounded sample (smallest id hashes first).
+    """Dictionary of serialised id arrays of a bounded sample (chosen by hash).
 
     Too few or too uniform samples give no dictionary (empty bytes).
     """
     import zstandard
-    sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-                  .filter(F.length("text").between(1, SAMPLE_CHARS))
-                  .orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE_DOCS).select("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sample = (hash_sample(rows, ["id", "text"], SAMPLE_DOCS).select("text")
+              .filter(F.length("text").between(1, SAMPLE_CHARS)))
 
     def run(batches):
         enc = encoder(vocabulary)
