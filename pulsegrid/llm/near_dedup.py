@@ -277,13 +277,13 @@ SQL = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 sh AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-      ELSE list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM w),
+      ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM w),
 n AS (SELECT doc_id, len(s) AS n FROM sh),
 x AS (SELECT doc_id, unnest(s) AS g FROM sh),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
       GROUP BY 1, 2),
 l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
-      WHERE 100 * both >= 85 * (na.n + nb.n - both)),
+      WHERE 100 * shared >= 85 * (na.n + nb.n - shared)),
 r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
 c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1)
 SELECT n.doc_id, n.n AS n_shingles, component_id, n.doc_id = component_id AS kept FROM n JOIN c USING (doc_id)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import chat_format, exact_dedup, kd_shards, near_dedup, packing, token_store
+from pulsegrid.llm import (chat_format, decontam, exact_dedup, kd_shards, lang_rank, license_scan,
+                           near_dedup, packing, quality_fm, token_store)
 from pulsegrid.llm.common import table
 
 
@@ -15,10 +16,26 @@ def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_fm.quality_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_digest(table(spark, sf_dir, "documents"))
 
 
+def op4_lang_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_rank.language_rows(table(spark, sf_dir, "documents"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -35,6 +52,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_kd_shards, op3_token_store, op7_exact_dedup, op8_odd_sketch, op9_chat_format, op10_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_kd_shards, op2_quality_fm, op3_token_store, op4_lang_rank, op5_license_scan, op6_decontaminate,
+    op7_exact_dedup, op8_odd_sketch, op9_chat_format, op10_packing)}
 ORACLES = {"op7_exact_dedup": exact_dedup.SQL, "op8_odd_sketch": near_dedup.SQL,
            "op9_chat_format": chat_format.SQL}
