@@ -170,17 +170,17 @@ def score(docs: DataFrame, model: Machine, text_col: str = "text", keep: tuple[s
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(            # (BUCKETS + structure) x (RANK + 1) floats
         (model.bias, model.linear, model.pairs, model.mean, model.scale))
-    fields = [docs.schema[c] for c in keep]
-    schema = T.StructType([*fields, T.StructField(name, T.DoubleType())])
+    names = list(keep) if text_col in keep else [*keep, text_col]
+    at, out = names.index(text_col), [docs.schema[c] for c in keep]
+    schema = T.StructType([*out, T.StructField(name, T.DoubleType())])
 
     def run(batches):
         hashes, m = word_hashes(), Machine(*held.value)
         for b in batches:
-            scores = [m.score(*features(t, hashes)) for t in text_bytes(b.column(b.num_columns - 1))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores, pa.float64())],
-                                             names=[*b.schema.names[:-1], name])
-    # positions, not names, tell the text apart: ``keep`` may hold the text itself
-    return docs.select(*keep, F.col(text_col).alias("_fm_text")).mapInArrow(run, schema)
+            scores = [m.score(*features(t, hashes)) for t in text_bytes(b.column(at))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(out)], pa.array(scores, pa.float64())],
+                                             names=[*b.schema.names[:len(out)], name])
+    return docs.select(*names).mapInArrow(run, schema)
 
 
 def quality_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
