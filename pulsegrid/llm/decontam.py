@@ -29,6 +29,13 @@ def plain(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
 
+def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order with their counts."""
+    s = np.sort(values)
+    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+    return s[first], np.diff(np.concatenate([first, [len(s)]]))
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
 
@@ -83,22 +90,27 @@ class Index:
             return []
         n = self.first[k + 1] - self.first[k]
         begin = np.repeat(self.first[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        item, place, pos = self.item[begin], self.place[begin], np.repeat(at, n)
-        diagonal = pos - place + 2 * int(self.chars.max())       # never below 0
-        half = self.budget[item] + 1                             # bands start every k + 1 diagonals, 2 (k + 1) wide
-        band = diagonal // half
+        item = self.item[begin]
+        rich = np.bincount(item, minlength=len(self.ids)) >= self.bound      # enough in the whole text at all
+        ok = rich[item]
+        if not ok.any():
+            return []
+        item, place, pos = item[ok], self.place[begin[ok]], np.repeat(at, n)[ok]
+        base = 2 * int(self.chars.max())                         # diagonals never fall below 0
+        band = (pos - place + base) // (self.budget[item] + 1)   # half a band; a band is two neighbours
         width = int(band.max()) + 2
-        # an item's place counts once per band, however often its q-gram repeats there
-        key = np.concatenate([item * width + band, item * width + band - 1])
-        pairs = np.unique(np.stack([key, np.concatenate([place, place])], 1), axis=0)[:, 0] if len(key) < 4096 else \
-            np.unique(key * (int(self.chars.max()) + 1) + np.concatenate([place, place])) // (int(self.chars.max()) + 1)
-        key, shared = np.unique(pairs, return_counts=True)
-        good = shared >= self.bound[key // width]
+        key = item * width + band
+        found, count = counted(key)
+        near = np.where(found[1:] == found[:-1] + 1, count[1:], 0)
+        both = count + np.concatenate([near, [0]])
         out = []
-        for x, s in zip(key[good].tolist(), shared[good].tolist()):
+        for x in found[both >= self.bound[found // width]].tolist():
+            # an item's place counts once, however often its q-gram repeats in the band
             i, b = divmod(x, width)
-            step, base = int(self.budget[i]) + 1, 2 * int(self.chars.max())
-            out.append((i, b * step - base, (b + 2) * step - 1 - base, s))
+            shared = len(set(place[(key == x) | (key == x + 1)].tolist()))
+            if shared >= self.bound[i]:
+                step = int(self.budget[i]) + 1
+                out.append((i, b * step - base, (b + 2) * step - 1 - base, shared))
         return out
 
     def find(self, text: str | None) -> list[tuple]:
