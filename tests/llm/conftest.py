@@ -1,0 +1,27 @@
+import os
+import sys
+
+import pytest
+
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [HERE, os.path.dirname(os.path.dirname(HERE))]
+
+from llm_rows import DOCS, EDGE  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pulsegrid.session import get_spark
+    s = get_spark("local[8]", shuffle_partitions=8, app="pulsegrid-llm-tests")
+    s.sparkContext.setLogLevel("ERROR")
+    yield s
+
+
+@pytest.fixture(scope="session")
+def edge(spark):
+    return spark.createDataFrame(EDGE, DOCS)
+
+
+@pytest.fixture(scope="session")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
