@@ -1,5 +1,6 @@
 """Documents with every odd case, shared by the tests."""
 
+import pytest
 from pyspark.sql import types as T
 
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
@@ -22,3 +23,13 @@ EDGE = [doc(None, "a row without an id"), doc(None, None), doc(0, None), doc(1,
         doc(9, "café <|endoftext|> <|ENDOFTEXT|> it's 3.14 \x1c a b İstanbul ΣΣ"),
         doc(10, "日本語のテキスト。二番目の文。", None), doc(11, "### $$$ 123 !!!", "en", None),
         doc(12, "The  same\ntext"), doc(13, "Thesametext"), doc(14, "The same text ")]
+
+
+@pytest.fixture(scope="session")
+def edge(spark):
+    return spark.createDataFrame(EDGE, DOCS)
+
+
+@pytest.fixture(scope="session")
+def none(spark):
+    return spark.createDataFrame([], DOCS)

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from llm_rows import DOCS, EDGE, doc
+from llm_rows import DOCS, EDGE, doc, edge, none  # noqa: F401
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import decontam as D

@@ -6,7 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-from llm_rows import EDGE
+from llm_rows import EDGE, edge, none  # noqa: F401
 
 from pulsegrid.llm import chat_format as C
 from pulsegrid.llm.exact_dedup import exact_groups

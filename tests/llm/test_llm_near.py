@@ -5,7 +5,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
-from llm_rows import EDGE
+from llm_rows import EDGE, edge, none  # noqa: F401
 
 from pulsegrid.llm import near_dedup as N
 

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from llm_rows import EDGE
+from llm_rows import EDGE, edge, none  # noqa: F401
 
 from pulsegrid.llm import packing as P
 from pulsegrid.llm import token_store as S
