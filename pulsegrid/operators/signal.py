@@ -39,7 +39,10 @@ def rr_resample(df: DataFrame, peaks: str, fs: float, points: int = K.RESAMPLE_P
                 keep=("window_id",), out: str = "rr_grid") -> DataFrame:
     """RR series on an equal grid (null when fewer than 8 peaks)."""
     def kern(m):
-        return {out: [K.rr_resample(row.astype(np.int64), fs, points) for row in m[peaks]]}
+        series: list = [None] * len(m[peaks])
+        for i, row in zip(*K.rr_resample(list(m[peaks]), fs, points)):
+            series[i] = row
+        return {out: series}
     return map_arrays(df, [peaks], [(out, VECTOR)], kern, keep)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.session import ensure_checkpoint_dir
 
+WINDOW_SPAN = 1 << 32   # window keys: subject * WINDOW_SPAN + blk
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row_in_partition
 
 
@@ -133,13 +134,14 @@ def _field(name):
 
 
 def cut_windows(samples: DataFrame, subject: str, order_cols: Sequence[str], value_cols: Sequence[str],
-                n: int, key_multiplier: int | None = 1000, label_col: str | None = None,
+                n: int, label_col: str | None = None,
                 extra_first: Sequence[str] = ()) -> DataFrame:
     """Consecutive blocks of ``n`` samples per subject in time order.
 
     Returns one row per complete window: ``subject, blk, window_id`` and one
     ``array<double>`` per value column in time order; short tails are dropped.
-    ``window_id = subject * key_multiplier + blk`` when a multiplier is given.
+    ``window_id`` packs (subject, blk) into one long, blk in the lower 32 bits:
+    unique for integer subjects below 2^31 with fewer than 2^32 windows each.
     With ``label_col`` the window also gets ``y`` = that column of the sample
     right after the window (windows without a next sample get null).
     Groups are (subject, blk), so no group ever exceeds n + 1 rows.
@@ -159,9 +161,7 @@ def cut_windows(samples: DataFrame, subject: str, order_cols: Sequence[str], val
            F.array_sort(F.collect_list(F.struct("_pos", *value_cols))).alias("_s")]
     agg += [F.first(c).alias(c) for c in extra_first]
     win = rows.groupBy(subject, "blk").agg(*agg).filter(F.col("_n") == n)
-    sel = [subject, "blk"]
-    if key_multiplier:
-        sel.append((F.col(subject) * key_multiplier + F.col("blk")).alias("window_id"))
+    sel = [subject, "blk", (F.col(subject).cast("long") * WINDOW_SPAN + F.col("blk")).alias("window_id")]
     sel += [F.transform("_s", _field(c)).alias(c) for c in value_cols]
     sel += list(extra_first)
     win = win.select(*sel)

@@ -184,9 +184,9 @@ def q_check_finite(spark, sf_dir):
     return C.check_finite(ev_windows(spark, sf_dir), ["x_nan"], "window_id")
 
 
-@register("check_rows", EV.replace("ev AS (SELECT user_id * 1000 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),",
-                                   "ev AS (SELECT user_id * 1000 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),\n"
-                                   "nxt AS (SELECT user_id * 1000 + blk - 1 AS window_id, v AS y FROM c WHERE i = 0 AND blk > 0),")
+@register("check_rows", EV.replace("ev AS (SELECT user_id * 4294967296 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),",
+                                   "ev AS (SELECT user_id * 4294967296 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),\n"
+                                   "nxt AS (SELECT user_id * 4294967296 + blk - 1 AS window_id, v AS y FROM c WHERE i = 0 AND blk > 0),")
           + """SELECT DISTINCT 'same_rows' AS rule, window_id::VARCHAR AS key, 'left only' AS detail FROM ev
 WHERE window_id NOT IN (SELECT window_id FROM nxt)""")
 def q_check_rows(spark, sf_dir):
@@ -262,7 +262,7 @@ def _subject_split(spark, sf_dir):
     return w, FO.split_subjects(w, "subject", subj)
 
 
-_SUBJ_SQL = EVREG_SQL.replace("SELECT window_id, avg(v) AS x0", "SELECT window_id, any_value(window_id // 1000) AS subject, avg(v) AS x0") + \
+_SUBJ_SQL = EVREG_SQL.replace("SELECT window_id, avg(v) AS x0", "SELECT window_id, any_value(window_id // 4294967296) AS subject, avg(v) AS x0") + \
     f""", ts AS (SELECT DISTINCT subject FROM d WHERE {_hash_sql('subject')} / 4294967296.0 < {SPLIT_FRACTION})
 """
 
@@ -294,7 +294,7 @@ def q_split_random(spark, sf_dir):
     return FO.split_random(ev_reg(spark, sf_dir), "window_id", SPLIT_FRACTION).select("window_id", "split")
 
 
-@register("split_temporal", EVREG_SQL.replace("SELECT window_id, avg(v) AS x0", "SELECT window_id, any_value(window_id // 1000) AS subject, any_value(window_id % 1000) AS blk, avg(v) AS x0")
+@register("split_temporal", EVREG_SQL.replace("SELECT window_id, avg(v) AS x0", "SELECT window_id, any_value(window_id // 4294967296) AS subject, any_value(window_id % 4294967296) AS blk, avg(v) AS x0")
           + f""", mb AS (SELECT subject, max(blk) AS mx FROM d GROUP BY subject)
 SELECT window_id, CASE WHEN blk < floor((mx + 1) * {1 - SPLIT_FRACTION}) THEN 'train' ELSE 'test' END AS split
 FROM d JOIN mb USING (subject)""")
@@ -351,9 +351,9 @@ def q_prepend(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- alignment / reports
-@register("align_scores", EV.replace("ev AS (SELECT user_id * 1000 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),",
-                                     "ev AS (SELECT user_id * 1000 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),\n"
-                                     "nxt AS (SELECT user_id * 1000 + blk - 1 AS window_id, v AS y FROM c WHERE i = 0 AND blk > 0),")
+@register("align_scores", EV.replace("ev AS (SELECT user_id * 4294967296 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),",
+                                     "ev AS (SELECT user_id * 4294967296 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),\n"
+                                     "nxt AS (SELECT user_id * 4294967296 + blk - 1 AS window_id, v AS y FROM c WHERE i = 0 AND blk > 0),")
           + f"""SELECT window_id, {R('avg(v)')} AS prediction, {R('any_value(y)')} AS y
 FROM ev JOIN nxt USING (window_id) GROUP BY window_id""")
 def q_align(spark, sf_dir):

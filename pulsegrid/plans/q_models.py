@@ -40,9 +40,9 @@ def ev_reg(spark, sf_dir):
 # ---------------------------------------------------------------- SQL pieces
 LI_SQL = "WITH d AS (SELECT l_quantity AS x0, l_discount AS x1, l_tax AS x2, l_extendedprice AS y FROM lineitem)\n"
 
-EVREG_SQL = EV.replace("ev AS (SELECT user_id * 1000 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),",
-                       "ev AS (SELECT user_id * 1000 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),\n"
-                       "nxt AS (SELECT user_id * 1000 + blk - 1 AS window_id, v AS y FROM c WHERE i = 0 AND blk > 0),") + \
+EVREG_SQL = EV.replace("ev AS (SELECT user_id * 4294967296 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),",
+                       "ev AS (SELECT user_id * 4294967296 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),\n"
+                       "nxt AS (SELECT user_id * 4294967296 + blk - 1 AS window_id, v AS y FROM c WHERE i = 0 AND blk > 0),") + \
     """, d AS (SELECT window_id, avg(v) AS x0, stddev_pop(v) AS x1, any_value(y) AS y,
        ('0x' || substr(md5(concat('42:', window_id::VARCHAR)), 1, 8))::BIGINT % 3 AS fold
    FROM ev JOIN nxt USING (window_id) GROUP BY window_id)

@@ -70,9 +70,9 @@ def q_impute_apply(spark, sf_dir):
     return m.transform(w).select("window_id", F.posexplode("xi").alias("pos", "value"))
 
 
-_F_SQL = EV.replace("ev AS (SELECT user_id * 1000 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),",
-                    "ev AS (SELECT user_id * 1000 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),\n"
-                    "nxt AS (SELECT user_id * 1000 + blk - 1 AS window_id, v AS y FROM c WHERE i = 0 AND blk > 0),") + \
+_F_SQL = EV.replace("ev AS (SELECT user_id * 4294967296 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),",
+                    "ev AS (SELECT user_id * 4294967296 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),\n"
+                    "nxt AS (SELECT user_id * 4294967296 + blk - 1 AS window_id, v AS y FROM c WHERE i = 0 AND blk > 0),") + \
     """, fs AS (SELECT i, corr(v, y) AS r, count(*) AS n FROM ev JOIN nxt USING (window_id) GROUP BY i),
 sc AS (SELECT i, r * r / (1 - r * r) * (n - 2) AS f FROM fs)
 """

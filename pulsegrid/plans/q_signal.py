@@ -32,7 +32,7 @@ LONG_SQL = f"""WITH r AS (
   FROM lineitem),
 c AS (SELECT sid, rn // {LONG_WINDOW} AS blk, rn % {LONG_WINDOW} AS i, v,
              count(*) OVER (PARTITION BY sid, rn // {LONG_WINDOW}) AS cnt FROM r),
-src AS (SELECT sid * 100000 + blk AS window_id, i, v FROM c WHERE cnt = {LONG_WINDOW})
+src AS (SELECT sid * 4294967296 + blk AS window_id, i, v FROM c WHERE cnt = {LONG_WINDOW})
 """
 
 EMB_SRC = EMB + ", src AS (SELECT window_id, i, v FROM emb)\n"

@@ -22,7 +22,7 @@ EV = """WITH r AS (
   FROM events),
 c AS (SELECT user_id, rn // 16 AS blk, rn % 16 AS i, v, vn,
              count(*) OVER (PARTITION BY user_id, rn // 16) AS cnt FROM r),
-ev AS (SELECT user_id * 1000 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),
+ev AS (SELECT user_id * 4294967296 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),
 evm AS (SELECT *, avg(v) OVER w AS m, stddev_pop(v) OVER w AS s,
                avg(vn) FILTER (WHERE NOT isnan(vn)) OVER w AS mn,
                lead(v) OVER wo AS v1, lead(v, 2) OVER wo AS v2, lag(v) OVER wo AS vp,
@@ -75,9 +75,9 @@ def q_cut_windows(spark, sf_dir):
     return w.select("window_id", F.posexplode("x").alias("pos", "value"))
 
 
-@register("window_labels", EV.replace("ev AS (SELECT user_id * 1000 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),",
-                                       "ev AS (SELECT user_id * 1000 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),\n"
-                                       "nxt AS (SELECT user_id * 1000 + blk - 1 AS window_id, v AS y FROM c WHERE i = 0 AND blk > 0),")
+@register("window_labels", EV.replace("ev AS (SELECT user_id * 4294967296 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),",
+                                       "ev AS (SELECT user_id * 4294967296 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),\n"
+                                       "nxt AS (SELECT user_id * 4294967296 + blk - 1 AS window_id, v AS y FROM c WHERE i = 0 AND blk > 0),")
           + """SELECT DISTINCT ev.window_id, """ + R("nxt.y") + """ AS y FROM ev JOIN nxt USING (window_id)""")
 def q_window_labels(spark, sf_dir):
     """W0 label: value of the event right after each window (windows without one dropped)."""

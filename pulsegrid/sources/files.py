@@ -55,6 +55,7 @@ def prepend_intercept(col) -> F.Column:
 
 
 # ---------------------------------------------------------------- S3 / S4
+# The channel names of the subject files.
 NPZ_CHANNELS = ("e4_temp", "e4_eda", "e4_hr", "e4_bvp", "e4_acc", "zephyr_ecg", "zephyr_breathing", "zephyr_acc")
 NPZ_AXES = ("e4_acc", "zephyr_acc")
 NPZ_LABEL = "glucose"
@@ -113,8 +114,9 @@ def read_npz_dir(spark: SparkSession, path: str, channels=NPZ_CHANNELS, label: s
                             pa.array(np.arange(0, m.size + 1, m.shape[1], dtype=np.int32)), pa.array(m.ravel())))
                     yield pa.RecordBatch.from_arrays(cols, schema=arrow_schema)
 
-    df = files.mapInArrow(decode, schema)
-    return df
+    if files.select("path").limit(1).count() == 0:
+        raise FileNotFoundError(f"no *.npz file in {path}")
+    return files.mapInArrow(decode, schema)
 
 
 def read_labels(df: DataFrame, key=("subject", "window"), label: str = "label") -> tuple[DataFrame, DataFrame]:
@@ -130,9 +132,16 @@ def read_labels(df: DataFrame, key=("subject", "window"), label: str = "label")
 
 # ---------------------------------------------------------------- S5 / S6 / S7 / S8
 def _lines(spark, path):
-    """Text lines with their 0-based line number (file order)."""
-    t = spark.read.text(path).withColumn("_mid", F.monotonically_increasing_id())
-    return with_row_index(t, ["_mid"], "line").drop("_mid")
+    """Text lines with their 0-based line number over all part files in name order.
+
+    Splits are read largest first, so the place of a line is its file, the
+    start of its block in that file, then its order inside the block.
+    """
+    t = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"),
+                                     F.col("_metadata.file_block_start").alias("_block"),
+                                     F.monotonically_increasing_id().alias("_mid"))
+    keys = ["_file", "_block", "_mid"]
+    return with_row_index(t, keys, "line").drop(*keys)
 
 
 def read_folds(spark: SparkSession, path: str, indexed: DataFrame, index_col: str = "row_index",
@@ -262,7 +271,7 @@ def load_model(spark: SparkSession, path: str, protocol: str | None = None) -> d
     if meta.get("format_version") != MODEL_FORMAT:
         raise ValueError(f"unsupported model format {meta.get('format_version')}")
     if protocol is not None and meta["protocol"] != protocol:
-        raise ValueError(f"Protocol mismatch: {meta['protocol']}")
+        raise ValueError(f"the stored model belongs to protocol {meta['protocol']}, not {protocol}")
     stages = {}
     for r in rows:
         if r["stage"] not in ("meta", "model"):

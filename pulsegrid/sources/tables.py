@@ -35,7 +35,7 @@ def ev_windows(spark: SparkSession, sf_dir: str, n: int = EV_WINDOW) -> DataFram
         "user_id", "ts", "event_id", "value",
         F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value")).alias("value_nan"))
     w = cut_windows(ev, "user_id", ["ts", "event_id"], ["value", "value_nan"], n,
-                    key_multiplier=1000, label_col="value")
+                    label_col="value")
     return w.select("window_id", F.col("user_id").alias("subject"), "blk",
                     F.col("value").alias("x"), F.col("value_nan").alias("x_nan"), "y")
 
@@ -81,7 +81,7 @@ def li_wear(spark: SparkSession, sf_dir: str) -> DataFrame:
         "eda_src", F.col("l_quantity") * (1 - F.col("l_discount")))
     w = cut_windows(li, "l_suppkey", list(LI_ORDER),
                     ["l_extendedprice", "l_quantity", "l_discount", "l_tax", "eda_src"], WEAR_WINDOW,
-                    key_multiplier=100000, label_col="l_extendedprice")
+                    label_col="l_extendedprice")
     return w.select("window_id", F.col("l_suppkey").alias("subject"), "blk",
                     F.col("l_extendedprice").alias("bvp"), F.col("l_quantity").alias("acc_x"),
                     F.col("l_discount").alias("acc_y"), F.col("l_tax").alias("acc_z"),
@@ -101,5 +101,5 @@ def li_long(spark: SparkSession, sf_dir: str, n: int = LONG_WINDOW) -> DataFrame
     """Long windows of prices per line status (two subjects hold all rows)."""
     li = table(spark, sf_dir, "lineitem").withColumn(
         "status_id", F.when(F.col("l_linestatus") == "O", F.lit(1)).otherwise(F.lit(0)))
-    w = cut_windows(li, "status_id", list(LI_ORDER), ["l_extendedprice"], n, key_multiplier=100000)
+    w = cut_windows(li, "status_id", list(LI_ORDER), ["l_extendedprice"], n)
     return w.select("window_id", F.col("status_id").alias("subject"), "blk", F.col("l_extendedprice").alias("x"))
