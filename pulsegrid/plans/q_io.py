@@ -20,7 +20,7 @@ from pulsegrid.operators.metrics import align, report, top_features
 from pulsegrid.operators.prep import slice_expr
 from pulsegrid.operators.windows import with_row_index
 from pulsegrid.plans.output import sql_round as R
-from pulsegrid.plans.q_models import EVREG_SQL, GRID_RAW, LI_SQL, _weights_sql, ev_reg
+from pulsegrid.plans.q_models import EVREG_SQL, GRID_RAW, LI_SQL, _weights_sql, ev_reg, range_case, range_ends
 from pulsegrid.plans.q_stats import EV
 from pulsegrid.plans.registry import register
 from pulsegrid.plans.sqlsolve import ridge_solution, scatter_select
@@ -30,7 +30,6 @@ from pulsegrid.sources.tables import LI_FEATURES, ev_windows, li_reg, table
 
 SPLIT_FRACTION = 0.2     # share of windows / subjects / blocks that go to test
 SAMPLE_N = 100
-FOLD_ENDS = (2000, 4000, 6000, 8000, 9500)
 
 
 def _scratch(spark, name):
@@ -122,20 +121,20 @@ def q_check_cv(spark, sf_dir):
     return C.check_grid(grid).unionByName(C.check_cv(cv, grid, best[0]))
 
 
-@register("folds_file_ranges", f"""WITH r AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS idx FROM events)
-SELECT CASE {" ".join(f"WHEN idx >= {s} AND idx < {e} THEN {f}" for f, (s, e) in enumerate(zip((0,) + FOLD_ENDS[:-1], FOLD_ENDS)))} END AS fold,
-       count(*) AS n FROM r GROUP BY 1""")
+@register("folds_file_ranges", f"""WITH r AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS idx,
+                                                       count(*) OVER () AS n FROM events)
+SELECT {range_case()} AS fold, count(*) AS n FROM r GROUP BY 1""")
 def q_folds_file(spark, sf_dir):
     """S5 form 1 + J2: ``[e1, ...]`` cumulative ends over the event index."""
     path = _scratch(spark, "folds1")
-    spark.createDataFrame([("[" + ", ".join(str(e) for e in FOLD_ENDS) + "]",)], "value string").coalesce(1) \
-        .write.text(path)
     ev = with_row_index(table(spark, sf_dir, "events").select("event_id"), ["event_id"])
+    spark.createDataFrame([("[" + ", ".join(str(e) for e in range_ends(ev.count())) + "]",)], "value string") \
+        .coalesce(1).write.text(path)
     f = IO.read_folds(spark, path, ev)
     return f.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("folds_file_ids", f"""SELECT ({_hash_sql('event_id')} % 5)::BIGINT AS fold, count(*) AS n FROM events GROUP BY 1""")
+@register("folds_file_ids", f"""SELECT event_id, ({_hash_sql('event_id')} % 5)::BIGINT AS fold FROM events""")
 def q_folds_ids(spark, sf_dir):
     """S5 form 2: one fold id per row (comma and blank separated lines), matched on the row index."""
     path = _scratch(spark, "folds2")
@@ -145,9 +144,11 @@ def q_folds_ids(spark, sf_dir):
     lines = (ids.groupBy(F.floor(F.col("row_index") / 10).alias("ln"))
                 .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_index", "fold"))),
                                               lambda s: s["fold"].cast("string")), ", ").alias("value")))
-    lines.orderBy("ln").select("value").write.text(path)
+    # several part files of unequal size: splits are not read in file order
+    doubling = F.floor(F.log2(F.col("ln") + 1))
+    lines.repartitionByRange(5, doubling).sortWithinPartitions("ln").select("value").write.text(path)
     f = IO.read_folds(spark, path, ev)
-    return f.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+    return f.select("event_id", "fold")
 
 
 @register("features_parquet", EV + """SELECT count(DISTINCT window_id) AS n_rows, 0::BIGINT AS width_violations,

@@ -26,8 +26,17 @@ K = 3
 GRID_RAW = ("0", "0.1", "1", "10", "1e2")
 GRID = [(r, float(r)) for r in GRID_RAW]
 RIDGE_LAMBDA = 10.0
-# Fold ranges over the event index (cumulative ends; rows past the last end are in no fold).
-EVENT_FOLD_ENDS = (2000, 4000, 6000, 8000, 9500)
+# Fold ends as shares of the row count (rows past the last end are in no fold).
+RANGE_SHARES = (0.2, 0.4, 0.6, 0.8, 0.95)
+
+
+def range_ends(n: int) -> list[int]:
+    return [int(n * share + 1e-9) for share in RANGE_SHARES]
+
+
+def range_case(idx: str = "idx", n: str = "n") -> str:
+    """SQL CASE giving the fold of a row index among ``n`` rows."""
+    return "CASE " + " ".join(f"WHEN {idx} < floor({n} * {f}) THEN {k}" for k, f in enumerate(RANGE_SHARES)) + " END"
 
 
 def ev_reg(spark, sf_dir):
@@ -184,22 +193,18 @@ def q_row_index(spark, sf_dir):
     return with_row_index(ev, ["ts", "event_id"]).select("event_id", "row_index")
 
 
-@register("fold_ranges", f"""WITH r AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS idx FROM events)
-SELECT CASE {" ".join(f"WHEN idx >= {s} AND idx < {e} THEN {f}" for f, (s, e) in enumerate(zip((0,) + EVENT_FOLD_ENDS[:-1], EVENT_FOLD_ENDS)))} END AS fold,
-       count(*) AS n, min(event_id) AS first_event, max(event_id) AS last_event
+@register("fold_ranges", f"""WITH r AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS idx,
+                                                 count(*) OVER () AS n FROM events)
+SELECT {range_case()} AS fold, count(*) AS n, min(event_id) AS first_event, max(event_id) AS last_event
 FROM r GROUP BY 1""")
 def q_fold_ranges(spark, sf_dir):
     """Fold ranges by cumulative ends over the event index; the rest in no fold."""
     ev = with_row_index(table(spark, sf_dir, "events").select("event_id"), ["event_id"], "idx")
-    f = ev.withColumn("fold", FO.range_fold_expr("idx", EVENT_FOLD_ENDS))
+    f = ev.withColumn("fold", FO.range_fold_expr("idx", range_ends(ev.count())))
     return f.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"),
                                  F.max("event_id").alias("last_event"))
 
 
-# Fold ends as shares of the window count (rows past the last end are in no fold).
-RANGE_SHARES = (0.2, 0.4, 0.6, 0.8, 0.95)
-
-
 def _cv_ranges_sql():
     w, b = ridge_solution(2, "g.lam")
     case = " ".join(f"WHEN idx < floor(n * {f}) THEN {k}" for k, f in enumerate(RANGE_SHARES))

@@ -170,24 +170,22 @@ def q_fscore_all(spark, sf_dir):
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(f)], "pos int, fscore double")
 
 
-MI_WIDTH = 6          # embedding positions scored against the label position
-MI_LABEL_POS = 10
+MI_LABEL_POS = 10     # embedding position that serves as label
 MI_KEEP = 3
 
 _MI_SQL = f"""WITH e AS (SELECT vec_id AS rid, embedding[{MI_LABEL_POS + 1}]::DOUBLE AS y0,
-                  unnest(range({MI_WIDTH})) AS j, unnest(embedding[1:{MI_WIDTH}])::DOUBLE AS x0 FROM embeddings),
+                  unnest(range(len(embedding))) AS j, unnest(embedding)::DOUBLE AS x0 FROM embeddings),
 s AS (SELECT j, stddev_pop(x0) AS sx, stddev_pop(y0) AS sy, count(*) AS n FROM e GROUP BY j),
-p AS (SELECT e.rid, e.j, e.x0 / s.sx AS x, e.y0 / s.sy AS y FROM e JOIN s USING (j)),
-pr AS (SELECT a.j, a.rid, greatest(abs(a.x - b.x), abs(a.y - b.y)) AS d FROM p a JOIN p b ON a.j = b.j AND a.rid <> b.rid),
-eps AS (SELECT j, rid, list_sort(list(d))[3] AS eps FROM pr GROUP BY j, rid),
-cnt AS (SELECT a.j, a.rid,
-               count(*) FILTER (WHERE abs(a.x - b.x) < e.eps * (1 - 1e-12)) AS nx,
-               count(*) FILTER (WHERE abs(a.y - b.y) < e.eps * (1 - 1e-12)) AS ny
-        FROM p a JOIN eps e ON e.j = a.j AND e.rid = a.rid JOIN p b ON b.j = a.j GROUP BY a.j, a.rid),
-hr AS (SELECT i AS m, -0.5772156649015329 + coalesce(sum(1.0 / i) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING
-        AND 1 PRECEDING), 0) AS psi FROM range(1, 200001) t(i)),
-mi AS (SELECT c.j, greatest(0.0, (SELECT psi FROM hr WHERE m = (SELECT max(n) FROM s)) + (SELECT psi FROM hr WHERE m = 3)
-              - avg(hx.psi) - avg(hy.psi)) AS mi
+p AS MATERIALIZED (SELECT e.rid, e.j, e.x0 / s.sx AS x, e.y0 / s.sy AS y FROM e JOIN s USING (j)),
+pr AS MATERIALIZED (SELECT a.j, a.rid, abs(a.x - b.x) AS dx, abs(a.y - b.y) AS dy
+       FROM p a JOIN p b ON a.j = b.j AND a.rid <> b.rid),
+eps AS MATERIALIZED (SELECT j, rid, min(greatest(dx, dy), 3)[3] * (1 - 1e-12) AS r FROM pr GROUP BY j, rid),
+cnt AS MATERIALIZED (SELECT j, rid, 1 + count(*) FILTER (WHERE dx < r) AS nx, 1 + count(*) FILTER (WHERE dy < r) AS ny
+        FROM pr JOIN eps USING (j, rid) GROUP BY j, rid),
+hr AS MATERIALIZED (SELECT i AS m, -0.5772156649015329 + coalesce(sum(1.0 / i) OVER (ORDER BY i
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS psi FROM range(1, 200001) t(i)),
+mi AS MATERIALIZED (SELECT c.j, greatest(0.0, (SELECT psi FROM hr WHERE m = (SELECT max(n) FROM s))
+              + (SELECT psi FROM hr WHERE m = 3) - avg(hx.psi) - avg(hy.psi)) AS mi
        FROM cnt c JOIN hr hx ON hx.m = c.nx JOIN hr hy ON hy.m = c.ny GROUP BY c.j)
 """
 
@@ -196,7 +194,7 @@ def _mi(spark, sf_dir):
     from pulsegrid.operators.mutual_info import mi_scores
     from pulsegrid.sources.tables import table
     d = table(spark, sf_dir, "embeddings").select(
-        F.slice("embedding", 1, MI_WIDTH).cast("array<double>").alias("f"),
+        F.col("embedding").cast("array<double>").alias("f"),
         F.col("embedding")[MI_LABEL_POS].cast("double").alias("y"))
     # the embeddings carry no ties, so the tie-breaking jitter is left out here
     return mi_scores(d, "f", "y", jitter=0.0)
@@ -204,7 +202,7 @@ def _mi(spark, sf_dir):
 
 @register("mutual_info", _MI_SQL + "SELECT j::BIGINT AS pos, " + R("mi") + " AS mi FROM mi")
 def q_mi(spark, sf_dir):
-    """T5: k-NN (k = 3) mutual information of embedding positions 0-5 with position 10."""
+    """T5: k-NN (k = 3) mutual information of every embedding position with position 10."""
     s = _mi(spark, sf_dir)
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(s)], "pos int, mi double")
 

@@ -41,11 +41,9 @@ embm AS (SELECT *, avg(v) OVER w AS m, stddev_pop(v) OVER w AS s, count(*) OVER
 AXES = """WITH e AS (
   SELECT vec_id AS window_id, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS k
   FROM embeddings),
-ax AS (SELECT window_id, k % 21 AS j,
-              max(v) FILTER (WHERE k // 21 = 0) AS x,
-              max(v) FILTER (WHERE k // 21 = 1) AS y,
-              max(v) FILTER (WHERE k // 21 = 2) AS z
-       FROM e WHERE k < 63 GROUP BY window_id, k % 21)
+ax AS (SELECT a.window_id, a.k AS j, a.v AS x, b.v AS y, c.v AS z
+       FROM e a JOIN e b ON b.window_id = a.window_id AND b.k = 63 - a.k
+                JOIN e c ON c.window_id = a.window_id AND c.k = (a.k + 21) % 64)
 """
 
 

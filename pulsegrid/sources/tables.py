@@ -6,7 +6,8 @@ The derived tables are plans, never files: they grow with the source tables.
   label = value of the next event (``y``), NaN copy ``x_nan`` where the event
   is an error.
 * ``emb_windows`` – each embedding is one 64-sample window, ``label`` as y.
-* ``emb_axes``    – the embedding's samples 1-21, 22-42, 43-63 as x, y, z.
+* ``emb_axes``    – three axes over all 64 samples: the embedding, its reverse,
+  and the embedding turned by ``AXIS_TURN`` samples.
 * ``li_reg``      – lineitem as a regression table (3 features, price label).
 """
 
@@ -23,7 +24,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 EV_WINDOW = 16        # samples per event window
-AXIS_LEN = 21         # samples per embedding axis
+AXIS_TURN = 21        # the z axis starts at this sample and wraps around
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,9 +50,9 @@ def emb_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def emb_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("embedding")
     return table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("window_id"),
-        F.slice(e, 1, AXIS_LEN).alias("ax"), F.slice(e, AXIS_LEN + 1, AXIS_LEN).alias("ay"),
-        F.slice(e, 2 * AXIS_LEN + 1, AXIS_LEN).alias("az"), F.col("label").cast("double").alias("y"))
+        F.col("vec_id").alias("window_id"), e.alias("ax"), F.reverse(e).alias("ay"),
+        F.concat(F.slice(e, F.lit(AXIS_TURN + 1), F.size(e) - AXIS_TURN), F.slice(e, 1, AXIS_TURN)).alias("az"),
+        F.col("label").cast("double").alias("y"))
 
 
 LI_FEATURES = ("l_quantity", "l_discount", "l_tax")
@@ -69,13 +70,12 @@ def li_reg(spark: SparkSession, sf_dir: str) -> DataFrame:
 LI_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
             "l_discount", "l_tax", "l_returnflag", "l_linestatus")
 WEAR_WINDOW = 64       # samples per lineitem window (per supplier)
-EDA_LEN = 40           # eda samples taken from each window
 LONG_WINDOW = 1024     # samples per long lineitem window (per line status: two hot subjects)
 
 
 def li_wear(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wearable-style windows: per supplier, 64 consecutive lines; bvp = price,
-    acc = (quantity, discount, tax), eda = first 40 of quantity*(1-discount);
+    acc = (quantity, discount, tax), eda = quantity*(1-discount);
     y = price of the next line."""
     li = table(spark, sf_dir, "lineitem").withColumn(
         "eda_src", F.col("l_quantity") * (1 - F.col("l_discount")))
@@ -85,7 +85,7 @@ def li_wear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select("window_id", F.col("l_suppkey").alias("subject"), "blk",
                     F.col("l_extendedprice").alias("bvp"), F.col("l_quantity").alias("acc_x"),
                     F.col("l_discount").alias("acc_y"), F.col("l_tax").alias("acc_z"),
-                    F.slice("eda_src", 1, EDA_LEN).alias("eda"), "y")
+                    F.col("eda_src").alias("eda"), "y")
 
 
 def li_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
