@@ -101,14 +101,53 @@ def q_rr(spark, sf_dir):
                                    ("mean_rr", "sdnn", "rmssd", "pnn50", "nn50", "sd1", "sd2", "sd_ratio")])
 
 
-@register("hrv_bands", None)
+# RR series of windows with 8 peaks or more: seconds since the first interval, linear between beats
+_GRID_SQL = f""", rb AS (SELECT window_id, (lead(pos) OVER w - pos) / {BEAT_FS} AS rr, row_number() OVER w AS b,
+                  count(*) OVER (PARTITION BY window_id) AS np FROM kept WINDOW w AS (PARTITION BY window_id ORDER BY pos)),
+rt AS (SELECT window_id, b, rr, sum(rr) OVER w - first_value(rr) OVER w AS t FROM rb WHERE rr IS NOT NULL AND np >= 8
+       WINDOW w AS (PARTITION BY window_id ORDER BY b)),
+sg AS (SELECT window_id, b, rr, t, lead(rr) OVER w AS rr2, lead(t) OVER w AS t2, max(b) OVER (PARTITION BY window_id) AS mb
+       FROM rt WINDOW w AS (PARTITION BY window_id ORDER BY b)),
+gp AS (SELECT window_id, k, max(t) * (k / {K.RESAMPLE_POINTS - 1}.0) AS x
+       FROM rt, (SELECT range AS k FROM range({K.RESAMPLE_POINTS})) GROUP BY window_id, k),
+iv AS (SELECT gp.window_id, gp.k, gp.x, max(sg.b) AS b FROM gp JOIN sg ON sg.window_id = gp.window_id
+         AND sg.t2 IS NOT NULL AND (sg.t <= gp.x OR sg.b = 1) GROUP BY gp.window_id, gp.k, gp.x),
+va AS (SELECT iv.window_id, iv.k, sg.rr + (iv.x - sg.t) / (sg.t2 - sg.t) * (sg.rr2 - sg.rr) AS r
+       FROM iv JOIN sg USING (window_id, b)),
+rs AS (SELECT window_id, k, r - avg(r) OVER (PARTITION BY window_id) AS rr FROM va)
+"""
+
+# Welch on the 256 points: segments of 64 that overlap by half, periodic Hann, mean removed per segment
+_HRV_SQL = f""", sm AS (SELECT rs.window_id, q.s, rs.k - 32 * q.s AS i,
+                  rr - avg(rr) OVER (PARTITION BY rs.window_id, q.s) AS v
+       FROM rs JOIN (SELECT range AS s FROM range(7)) q ON rs.k >= 32 * q.s AND rs.k < 32 * q.s + 64),
+sw AS (SELECT window_id, s, i, v * (0.5 - 0.5 * cos(2 * pi() * i / 64.0)) AS xw FROM sm),
+fk AS (SELECT range AS f FROM range(33)),
+ft AS (SELECT window_id, s, f, sum(xw * cos(2 * pi() * f * i / 64.0)) AS re, sum(xw * sin(2 * pi() * f * i / 64.0)) AS im
+       FROM sw, fk GROUP BY window_id, s, f),
+pd AS (SELECT window_id, f / 16.0 AS hz, avg((re * re + im * im) / ({K.WELCH_FS} * 24.0)
+              * CASE WHEN f IN (0, 32) THEN 1 ELSE 2 END) AS p FROM ft GROUP BY window_id, f),
+tz AS (SELECT pd.window_id, bd.name, sum((b.hz - pd.hz) * (b.p + pd.p) / 2) AS pw
+       FROM (VALUES {", ".join(f"('{n}', {lo}, {hi})" for n, lo, hi in K.HRV_BANDS)}) bd(name, lo, hi)
+       JOIN pd ON pd.hz >= bd.lo AND pd.hz < bd.hi
+       JOIN pd b ON b.window_id = pd.window_id AND b.hz = pd.hz + 1 / 16.0 AND b.hz < bd.hi GROUP BY pd.window_id, bd.name),
+bp AS (SELECT l.window_id, coalesce(max(pw) FILTER (WHERE name = 'vlf'), 0) AS vlf,
+              coalesce(max(pw) FILTER (WHERE name = 'lf'), 0) AS lf, coalesce(max(pw) FILTER (WHERE name = 'hf'), 0) AS hf
+       FROM (SELECT DISTINCT window_id FROM src) l LEFT JOIN tz USING (window_id) GROUP BY l.window_id)
+SELECT window_id, {R('vlf')} AS vlf, {R('lf')} AS lf, {R('hf')} AS hf, {R('lf / (hf + 1e-10)')} AS lf_hf,
+       {R('vlf + lf + hf')} AS total FROM bp"""
+
+_BEATS = LONG_SQL + peaks_sql(LONG_WINDOW, int(BEAT_DIST * BEAT_FS), BEAT_Q)
+
+
+@register("hrv_bands", _recursive(_BEATS + _GRID_SQL + _HRV_SQL))
 def q_hrv(spark, sf_dir):
     """G4 + G5 + G6 on beats: RR series resampled to 256 points, Welch (fs 4,
     segment 64), band powers; zeros below 8 peaks."""
     return S.hrv_frequency(_long_peaks(spark, sf_dir), "peaks", BEAT_FS)
 
 
-@register("rr_resample", None)
+@register("rr_resample", _recursive(_BEATS + _GRID_SQL + f"SELECT window_id, k::BIGINT AS pos, {R('rr')} AS rr FROM rs"))
 def q_rr_resample(spark, sf_dir):
     """The resampled, mean-removed RR series (long form)."""
     r = S.rr_resample(_long_peaks(spark, sf_dir), "peaks", BEAT_FS)

@@ -84,3 +84,35 @@ def test_row_index_is_contiguous_with_hot_key(spark):
     pdf = out.toPandas().sort_values(["g", "id"])
     for _, grp in pdf.groupby("g"):
         assert list(grp.rn) == list(range(len(grp)))
+
+
+def test_line_order_over_part_files_of_unequal_size(spark, tmp_path):
+    """Splits are read largest first; line numbers follow the file names."""
+    sizes, at = (30, 4000, 5, 900), 0
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    for k, n in enumerate(sizes):
+        (folder / f"part-{k:05d}.txt").write_text("".join(f"{v}.0\n" for v in range(at, at + n)))
+        at += n
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")     # the large file is read in several blocks
+    try:
+        vec, bad = IO.read_vector(spark, str(folder))
+        rows = vec.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(rows) == at and all(r.pos == r.value for r in rows) and bad.count() == 0
+
+
+def test_npz_folder_without_files_fails(spark, tmp_path):
+    import pytest
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError):
+        IO.read_npz_dir(spark, str(tmp_path / "empty"))
+
+
+def test_window_keys_of_long_subjects_are_unique(spark):
+    from pulsegrid.operators.windows import cut_windows
+    rows = spark.range(2 * 4800).selectExpr("id % 2 AS subject", "id AS t", "cast(id AS double) AS v")
+    w = cut_windows(rows, "subject", ["t"], ["v"], 4)
+    assert w.count() == 2400 and w.select("window_id").distinct().count() == 2400
