@@ -88,6 +88,7 @@ def test_row_index_is_contiguous_with_hot_key(spark):
 
 def test_line_order_over_part_files_of_unequal_size(spark, tmp_path):
     """Splits are read largest first; line numbers follow the file names."""
+    from pulsegrid.sources.files import read_vector
     sizes, at = (30, 4000, 5, 900), 0
     folder = tmp_path / "parts"
     folder.mkdir()
@@ -97,7 +98,7 @@ def test_line_order_over_part_files_of_unequal_size(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")     # the large file is read in several blocks
     try:
-        vec, bad = IO.read_vector(spark, str(folder))
+        vec, bad = read_vector(spark, str(folder))
         rows = vec.collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
@@ -105,10 +106,10 @@ def test_line_order_over_part_files_of_unequal_size(spark, tmp_path):
 
 
 def test_npz_folder_without_files_fails(spark, tmp_path):
-    import pytest
+    from pulsegrid.sources.files import read_npz_dir
     (tmp_path / "empty").mkdir()
     with pytest.raises(FileNotFoundError):
-        IO.read_npz_dir(spark, str(tmp_path / "empty"))
+        read_npz_dir(spark, str(tmp_path / "empty"))
 
 
 def test_window_keys_of_long_subjects_are_unique(spark):
