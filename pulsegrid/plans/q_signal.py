@@ -18,6 +18,7 @@ from pulsegrid.operators.features import (MULTIRATE_NAMES, WEARABLE_NAMES, featu
 from pulsegrid.plans.output import sql_round as R
 from pulsegrid.plans.q_stats import EMB
 from pulsegrid.plans.registry import register
+from pulsegrid.plans.sqlfeatures import FEATURE_BITS, multirate_sql, wearable_sql
 from pulsegrid.sources.tables import LI_ORDER, LONG_WINDOW, emb_windows, li_long, li_multi, li_wear
 
 BEAT_FS = 64.0
@@ -38,7 +39,7 @@ src AS (SELECT sid * 4294967296 + blk AS window_id, i, v FROM c WHERE cnt = {LON
 EMB_SRC = EMB + ", src AS (SELECT window_id, i, v FROM emb)\n"
 
 
-def peaks_sql(n: int, distance: int, q: float, src: str = "src") -> str:
+def peaks_sql(distance: int, q: float, src: str = "src") -> str:
     """CTEs ``kept(window_id, pos, h)``: strict maxima (flat tops at the floor of
     the middle), height >= percentile q, greedy minimum distance by height."""
     return f""", runs AS (SELECT window_id, i, v, i - row_number() OVER (PARTITION BY window_id, v ORDER BY i) AS g
@@ -71,7 +72,7 @@ def _long_peaks(spark, sf_dir):
     return S.find_peaks(li_long(spark, sf_dir), "x", BEAT_FS, BEAT_DIST, BEAT_Q)
 
 
-@register("find_peaks", _recursive(LONG_SQL + peaks_sql(LONG_WINDOW, int(BEAT_DIST * BEAT_FS), BEAT_Q)
+@register("find_peaks", _recursive(LONG_SQL + peaks_sql(int(BEAT_DIST * BEAT_FS), BEAT_Q)
                                    + "SELECT window_id, pos::BIGINT AS pos FROM kept"))
 def q_peaks(spark, sf_dir):
     """G1: peaks of 1024-sample price windows (fs 64, distance 0.3 s, height q 0.7)."""
@@ -92,7 +93,7 @@ SELECT window_id, {R('mean_rr')} AS mean_rr, {R('sdnn')} AS sdnn, {R('rmssd')} A
 FROM st"""
 
 
-@register("rr_stats", _recursive(LONG_SQL + peaks_sql(LONG_WINDOW, int(BEAT_DIST * BEAT_FS), BEAT_Q) + _RR_SQL))
+@register("rr_stats", _recursive(LONG_SQL + peaks_sql(int(BEAT_DIST * BEAT_FS), BEAT_Q) + _RR_SQL))
 def q_rr(spark, sf_dir):
     """RR-interval statistics from the G1 peaks (Column function over the peak array)."""
     p = _long_peaks(spark, sf_dir)
@@ -137,7 +138,7 @@ bp AS (SELECT l.window_id, coalesce(max(pw) FILTER (WHERE name = 'vlf'), 0) AS v
 SELECT window_id, {R('vlf')} AS vlf, {R('lf')} AS lf, {R('hf')} AS hf, {R('lf / (hf + 1e-10)')} AS lf_hf,
        {R('vlf + lf + hf')} AS total FROM bp"""
 
-_BEATS = LONG_SQL + peaks_sql(LONG_WINDOW, int(BEAT_DIST * BEAT_FS), BEAT_Q)
+_BEATS = LONG_SQL + peaks_sql(int(BEAT_DIST * BEAT_FS), BEAT_Q)
 
 
 @register("hrv_bands", _recursive(_BEATS + _GRID_SQL + _HRV_SQL))
@@ -189,7 +190,8 @@ def q_band(spark, sf_dir):
     return w.select("window_id", *[b[k].alias(k) for k in ("vlf", "lf", "hf", "lf_hf", "total")])
 
 
-def _filter_sql():
+def filter_ctes() -> str:
+    """CTEs ``tonic(window_id, i, tonic)`` of the 64-sample windows ``emb(window_id, i, v)``."""
     b, a = K.butter_lowpass(4, 0.05, 4.0)
     zi = [float(v) for v in K._lfilter_zi(b, a)]
     b, a = [float(v) for v in b], [float(v) for v in a]
@@ -214,7 +216,7 @@ def _filter_sql():
                f"FROM {name} p JOIN {src} x ON x.window_id = p.window_id AND x.j = p.j + 1")
         return f"{name}(window_id, j, y, z1, z2, z3, z4) AS ({base} UNION ALL {rec})"
 
-    return EMB + f""", fx AS (SELECT window_id, max(v) FILTER (WHERE i = 0) AS x0, max(v) FILTER (WHERE i = {n - 1}) AS xl
+    return f""", fx AS (SELECT window_id, max(v) FILTER (WHERE i = 0) AS x0, max(v) FILTER (WHERE i = {n - 1}) AS xl
         FROM emb GROUP BY window_id),
 ext AS (SELECT e.window_id, e.i + {pad} AS j, e.v AS e FROM emb e
         UNION ALL SELECT e.window_id, {pad} - e.i AS j, 2 * fx.x0 - e.v FROM emb e JOIN fx USING (window_id)
@@ -228,7 +230,7 @@ tonic AS (SELECT window_id, {L - 1} - j - {pad} AS i, y AS tonic FROM bwd WHERE
 """
 
 
-@register("lowpass_split", _recursive(_filter_sql() + f"""SELECT t.window_id, t.i::BIGINT AS pos, {R('t.tonic')} AS tonic,
+@register("lowpass_split", _recursive(EMB + filter_ctes() + f"""SELECT t.window_id, t.i::BIGINT AS pos, {R('t.tonic')} AS tonic,
        {R('e.v - t.tonic')} AS phasic FROM tonic t JOIN emb e ON e.window_id = t.window_id AND e.i = t.i"""))
 def q_lowpass(spark, sf_dir):
     """Zero-phase 4th-order Butterworth (0.05 Hz at fs 4) tonic and phasic parts."""
@@ -237,9 +239,9 @@ def q_lowpass(spark, sf_dir):
         "window_id", "pos", "s.tonic", "s.phasic")
 
 
-@register("scr_peaks", _recursive(_filter_sql() + """, ph AS (SELECT t.window_id, t.i, e.v - t.tonic AS v
+@register("scr_peaks", _recursive(EMB + filter_ctes() + """, ph AS (SELECT t.window_id, t.i, e.v - t.tonic AS v
         FROM tonic t JOIN emb e ON e.window_id = t.window_id AND e.i = t.i)
-""" + peaks_sql(64, 100, 0.8, "ph") + f""", ids AS (SELECT window_id, sum(v * v) AS energy FROM ph GROUP BY window_id)
+""" + peaks_sql(100, 0.8, "ph") + f""", ids AS (SELECT window_id, sum(v * v) AS energy FROM ph GROUP BY window_id)
 SELECT ids.window_id, count(kept.pos)::DOUBLE AS scr_count, {R('coalesce(avg(kept.h), 0.0)')} AS scr_amp_mean,
        {R('coalesce(max(kept.h), 0.0)')} AS scr_amp_max, {R('any_value(ids.energy)')} AS phasic_energy
 FROM ids LEFT JOIN kept USING (window_id) GROUP BY ids.window_id"""))
@@ -249,7 +251,7 @@ def q_scr(spark, sf_dir):
     return S.scr_peaks(w, "phasic")
 
 
-@register("breath_rate", _recursive(EMB_SRC + peaks_sql(64, int(1.0 * BREATH_FS), 0.5) + f"""
+@register("breath_rate", _recursive(EMB_SRC + peaks_sql(int(1.0 * BREATH_FS), 0.5) + f"""
 , ids AS (SELECT DISTINCT window_id FROM src)
 SELECT ids.window_id, {R(f'count(kept.pos) / (64 / {BREATH_FS}) * 60.0')} AS breath_rate
 FROM ids LEFT JOIN kept USING (window_id) GROUP BY ids.window_id"""))
@@ -263,13 +265,13 @@ def _long(df, names):
         "window_id", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("pos") + 1).alias("name"), "value")
 
 
-@register("features_wearable", None)
+@register("features_wearable", wearable_sql(), bits=FEATURE_BITS)
 def q_fc(spark, sf_dir):
     """F-C: the 81 wearable features of every lineitem window (long form)."""
     return _long(features_wearable(li_wear(spark, sf_dir)), WEARABLE_NAMES)
 
 
-@register("features_multirate", None)
+@register("features_multirate", _recursive(multirate_sql(peaks_sql, filter_ctes())), bits=FEATURE_BITS)
 def q_fd(spark, sf_dir):
     """F-D: the 129 multi-rate features of every lineitem window (long form)."""
     return _long(features_multirate(li_multi(spark, sf_dir)), MULTIRATE_NAMES)

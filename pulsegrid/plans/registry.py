@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.plans.output import finish
+from pulsegrid.plans.output import ABS_BITS, REL_BITS, finish
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -20,15 +20,15 @@ QUERIES: dict[str, Builder] = {}
 ORACLES: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None, rounded: bool = True):
-    """Decorator: register ``fn`` under ``name`` (results rounded by ``finish``)."""
+def register(name: str, sql: str | None = None, rounded: bool = True, bits: tuple = (REL_BITS, ABS_BITS)):
+    """Decorator: register ``fn`` under ``name`` (results rounded by ``finish`` to ``bits``)."""
     def deco(fn: Builder) -> Builder:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = fn(spark, sf_dir)
-            return finish(df) if rounded else df
+            return finish(df, *bits) if rounded else df
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
