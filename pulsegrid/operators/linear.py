@@ -225,13 +225,17 @@ def _lasso_fista(C, c, yy, l1, l2, w, tol, max_steps):
 
 
 def fit_lasso(df: DataFrame, features, label: str, alpha: float, l1_ratio: float = 1.0,
-              names=None) -> LinearModel:
+              names=None, tol: float = LASSO_TOL) -> LinearModel:
     """M3: lasso (elastic net) with a free intercept from one Gramian pass; the
-    solve is coordinate descent on the driver over the p x p centred Gramian."""
+    solve is coordinate descent on the driver over the p x p centred Gramian.
+    ``meta["gap"]`` is the duality gap reached as a share of the label's
+    variation: above ``tol`` where the sweep cap came first."""
     m = total(moment_sums(df, features, label))
     p = m.p
     S = m.centered()
-    w = lasso_cd(S[:p, :p], S[:p, p], m.n, alpha, l1_ratio, yy=S[p, p])
+    C, c, yy = S[:p, :p], S[:p, p], S[p, p]
+    w = lasso_cd(C, c, m.n, alpha, l1_ratio, tol=tol, yy=yy)
+    gap = _duality_gap(C, c, yy, w, alpha * l1_ratio * m.n, alpha * (1.0 - l1_ratio) * m.n)
     mean = m.mean()
     return LinearModel(float(mean[p] - w @ mean[:p]), w, list(names or []),
-                       {"n": m.n, "alpha": alpha, "l1_ratio": l1_ratio})
+                       {"n": m.n, "alpha": alpha, "l1_ratio": l1_ratio, "gap": float(gap / yy) if yy > 0 else 0.0})

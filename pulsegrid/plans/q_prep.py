@@ -6,7 +6,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from pulsegrid.operators.linear import fit_lasso
+from pulsegrid.operators.linear import fit_lasso, predict_expr
 from pulsegrid.operators.prep import (LassoSelector, MedianImputer, PolynomialExpansion, PopulationScaler,
                                       SelectKBest, column_medians, f_scores, poly_names)
 from pulsegrid.operators.robust import ALL_ROWS, GridPoint, best_point, fit_robust_grid
@@ -14,6 +14,7 @@ from pulsegrid.plans.output import sql_round as R
 from pulsegrid.plans.q_models import EVREG_SQL, LI_SQL, ev_reg
 from pulsegrid.plans.q_stats import EV
 from pulsegrid.plans.registry import register
+from pulsegrid.plans.sqlfit import lasso_ctes, robust_ctes
 from pulsegrid.sources.tables import ev_windows, li_reg
 
 # Fixed values of the registered grid searches.
@@ -22,6 +23,13 @@ EPS_GRID = [(a, l1) for a in (1e-3, 1e-2, 1e-1) for l1 in (0.15, 0.50, 0.85)]
 EPSILON = 5.0
 LASSO_ALPHA = 5.0
 SELECT_K = 5
+# Compared digits of fits (significant bits, grid near zero, unit): two solvers agree in the minimum to about 1e-6.
+FIT_BITS = (20, 20, 0.7548776662466927)
+OBJECTIVE_BITS = (13, 20, 0.7548776662466927)
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 @register("poly_expand", EVREG_SQL + """SELECT window_id, pos::BIGINT AS pos, """ + R("value") + """ AS value
@@ -105,14 +113,24 @@ def q_lasso1(spark, sf_dir):
     return spark.createDataFrame([(float(m.intercept), float(m.coef[0]))], "intercept double, coef double")
 
 
-@register("lasso_weights", None)
+@register("lasso_weights", _recursive(LI_SQL + lasso_ctes(["x0", "x1", "x2"], LASSO_ALPHA)) + f"""SELECT pos::BIGINT AS pos,
+  {R("weight", *FIT_BITS)} AS weight FROM (SELECT unnest(range(4)) AS pos, unnest(list_prepend(b, w)) AS weight FROM fit) t""",
+          bits=FIT_BITS)
 def q_lasso(spark, sf_dir):
     """M3: lasso (alpha 5) on lineitem, coordinate descent on the distributed Gramian."""
-    m = fit_lasso(li_reg(spark, sf_dir), "features", "y", LASSO_ALPHA)
+    m = fit_lasso(li_reg(spark, sf_dir), "features", "y", LASSO_ALPHA, tol=1e-12)
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(m.weights())], "pos int, weight double")
 
 
-@register("lasso_select", None)
+_POLY = [f"x{i}" for i in range(5)]
+_POLY_SQL = f""", ps AS (SELECT x0, x1, x0 * x0 AS x2, x0 * x1 AS x3, x1 * x1 AS x4, y FROM d),
+pm AS (SELECT {", ".join(f"avg({c}) AS a{c}, stddev_pop({c}) AS s{c}" for c in _POLY)} FROM ps),
+pz AS (SELECT {", ".join(f"({c} - a{c}) / s{c} AS {c}" for c in _POLY)}, y FROM ps, pm)
+"""
+
+
+@register("lasso_select", _recursive(EVREG_SQL + _POLY_SQL + lasso_ctes(_POLY, 0.5, "pz")) + """SELECT pos::BIGINT AS pos FROM
+  (SELECT unnest(range(5)) AS pos, unnest(w) AS v FROM fit) t QUALIFY row_number() OVER (ORDER BY abs(v) DESC, pos) <= 3""")
 def q_lasso_select(spark, sf_dir):
     """Lasso screening of the 5 expanded window features, keep the 3 largest |coef|."""
     d = PolynomialExpansion("features", "poly", width=2).transform(ev_reg(spark, sf_dir))
@@ -124,37 +142,76 @@ def q_lasso_select(spark, sf_dir):
 def _robust(spark, sf_dir, grid):
     d = ev_reg(spark, sf_dir)
     d = PopulationScaler("features", "features").fit(d).transform(d)
-    return fit_robust_grid(d, "features", "y", grid, "fold", 3)
+    return d, *fit_robust_grid(d, "features", "y", grid, "fold", 3)
 
 
-@register("robust_absolute", None)
+def _objectives(spark, d, grid, models):
+    """The objective of each refitted model over all rows, from its weights alone."""
+    def of(p, g):
+        m = models[(p, ALL_ROWS)]
+        off = F.greatest(F.abs(F.col("y") - predict_expr(m, "features")) - g.epsilon, F.lit(0.0))
+        w = m.coef
+        return (F.avg(off) + float(g.alpha * (g.l1_ratio * np.abs(w).sum() + (1 - g.l1_ratio) / 2 * (w @ w)))).alias(f"o{p}")
+    row = d.agg(*[of(p, g) for p, g in enumerate(grid)]).first()
+    return spark.createDataFrame([(p, float(g.alpha), float(g.l1_ratio), float(row[p])) for p, g in enumerate(grid)],
+                                 "pos int, alpha double, l1_ratio double, objective double")
+
+
+_Z_SQL = """, zm AS (SELECT avg(x0) AS a0, stddev_pop(x0) AS s0, avg(x1) AS a1, stddev_pop(x1) AS s1 FROM d),
+z AS (SELECT (x0 - a0) / s0 AS x0, (x1 - a1) / s1 AS x1, y, fold FROM d, zm)
+"""
+
+
+def _robust_sql(points):
+    return _recursive(EVREG_SQL + _Z_SQL + robust_ctes(points, None)) + f"""SELECT pos::BIGINT AS pos,
+  {R("gp.alpha", *OBJECTIVE_BITS)} AS alpha, {R("gp.l1", *OBJECTIVE_BITS)} AS l1_ratio,
+  {R("obj", *OBJECTIVE_BITS)} AS objective FROM fit JOIN gp USING (pos)"""
+
+
+@register("robust_absolute", _robust_sql([(a, 0.0, 0.0) for a in ABS_ALPHAS]), bits=OBJECTIVE_BITS)
 def q_robust_abs(spark, sf_dir):
-    """M4: absolute-error model with l2 penalty, every alpha, 3 folds + refit."""
+    """M4: absolute-error model with l2 penalty, every alpha, 3 folds + refit: the minimum reached."""
     grid = [GridPoint(a, 0.0, 0.0) for a in ABS_ALPHAS]
-    scores, models = _robust(spark, sf_dir, grid)
-    rows = [(p, float(a.alpha), float(models[(p, ALL_ROWS)].intercept), *map(float, models[(p, ALL_ROWS)].coef),
-             float(models[(p, ALL_ROWS)].meta["objective"])) for p, a in enumerate(grid)]
-    return spark.createDataFrame(rows, "pos int, alpha double, intercept double, w0 double, w1 double, "
-                                       "objective double")
+    d, _, models = _robust(spark, sf_dir, grid)
+    return _objectives(spark, d, grid, models)
 
 
-@register("robust_epsilon", None)
+@register("robust_epsilon", _robust_sql([(a, l1, EPSILON) for a, l1 in EPS_GRID]), bits=OBJECTIVE_BITS)
 def q_robust_eps(spark, sf_dir):
-    """M5: epsilon-insensitive (5.0) elastic-net model over the 3 x 3 grid, 3 folds + refit."""
+    """M5: epsilon-insensitive (5.0) elastic-net model over the 3 x 3 grid, 3 folds + refit: the minima reached."""
     grid = [GridPoint(a, l1, EPSILON) for a, l1 in EPS_GRID]
-    scores, models = _robust(spark, sf_dir, grid)
-    rows = [(p, float(g.alpha), float(g.l1_ratio), float(models[(p, ALL_ROWS)].intercept),
-             *map(float, models[(p, ALL_ROWS)].coef), float(models[(p, ALL_ROWS)].meta["objective"]))
-            for p, g in enumerate(grid)]
-    return spark.createDataFrame(rows, "pos int, alpha double, l1_ratio double, intercept double, w0 double, "
-                                       "w1 double, objective double")
+    d, _, models = _robust(spark, sf_dir, grid)
+    return _objectives(spark, d, grid, models)
+
+
+_FOLDS_SQL = _recursive(EVREG_SQL + _Z_SQL + robust_ctes([(a, 0.0, 0.0) for a in ABS_ALPHAS], 3)) + f"""SELECT
+  pos::BIGINT AS pos, fold::BIGINT AS fold, {R("obj", *OBJECTIVE_BITS)} AS objective, true AS score_holds
+FROM fit WHERE fold >= 0"""
+
+
+@register("grid_search_folds", _FOLDS_SQL, bits=OBJECTIVE_BITS)
+def q_grid_folds(spark, sf_dir):
+    """E6 by fold: the training minimum reached, and whether the validation score equals
+    the MAE of the returned weights over the held-out rows."""
+    grid = [GridPoint(a, 0.0, 0.0) for a in ABS_ALPHAS]
+    d, scores, models = _robust(spark, sf_dir, grid)
+    off = {(p, f): F.abs(F.col("y") - predict_expr(models[(p, f)], "features")) for p, f, _ in scores}
+    row = d.agg(*[F.avg(F.when((F.col("fold") == f) == held, off[(p, f)])).alias(f"m{p}_{f}_{held}")
+                  for p, f, _ in scores for held in (False, True)]).first()
+    rows = []
+    for p, f, mae in scores:
+        w = models[(p, f)].coef
+        rows.append((p, f, float(row[f"m{p}_{f}_False"] + grid[p].alpha / 2 * (w @ w)),
+                     bool(abs(row[f"m{p}_{f}_True"] - mae) <= 1e-6 * mae)))
+    return spark.createDataFrame(rows, "pos int, fold int, objective double, score_holds boolean")
 
 
 @register("grid_search", None)
 def q_grid(spark, sf_dir):
-    """Validation MAE per (alpha, fold), mean per alpha, best (first on ties)."""
+    """Validation MAE per (alpha, fold), mean per alpha, best (first on ties).
+    An interval of intercepts may reach the minimum, so the scores have no twin (``grid_search_folds``)."""
     grid = [GridPoint(a, 0.0, 0.0) for a in ABS_ALPHAS]
-    scores, _ = _robust(spark, sf_dir, grid)
+    _, scores, _ = _robust(spark, sf_dir, grid)
     best = best_point(scores, len(grid))
     means = {p: float(np.mean([s[2] for s in scores if s[0] == p])) for p in range(len(grid))}
     return spark.createDataFrame([(p, float(grid[p].alpha), means[p], p == best) for p in range(len(grid))],
