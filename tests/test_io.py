@@ -32,6 +32,49 @@ def test_npz_directory(spark):
     assert viol.count() == 2                              # the unlabelled file
 
 
+def subject_files(folder, windows=24):
+    rng = np.random.default_rng(5)
+    for name in ("s01_a", "s01_b", "s02_a"):
+        beat = rng.normal(size=(windows, 1)) + np.sin(np.arange(500) / rng.uniform(6, 12, size=(windows, 1)))
+        np.savez(os.path.join(folder, f"{name}.npz"), e4_temp=rng.normal(30, 1, size=(windows, 40)),
+                 e4_eda=rng.normal(size=(windows, 64)), e4_hr=rng.normal(70, 5, size=(windows, 16)),
+                 e4_bvp=rng.normal(size=(windows, 256)), e4_acc=rng.normal(size=(windows, 32 * 3)),
+                 zephyr_ecg=beat, zephyr_breathing=rng.normal(size=(windows, 100)),
+                 zephyr_acc=rng.normal(size=(windows, 20 * 3)), glucose=rng.normal(100, 20, size=windows))
+
+
+def test_subject_files_to_protocol_and_back(spark, tmp_path):
+    """NPZ folder -> features -> split by part -> fitted chain -> saved, refused, loaded, replayed."""
+    from pyspark.sql import functions as F
+
+    from pulsegrid.operators import folds as FO
+    from pulsegrid.operators.features import MULTIRATE_NAMES
+    from pulsegrid.plans.protocols import (_state, apply_stages, fit_stages, subject_file_features, train_protocol,
+                                           transform_protocol)
+    from pulsegrid.session import scratch_path
+    from pulsegrid.sources.files import load_model, read_npz_dir, save_model
+    subject_files(tmp_path)
+    rows = subject_file_features(read_npz_dir(spark, str(tmp_path)))
+    assert rows.count() == 72 and rows.select("window_id").distinct().count() == 72
+    split = FO.split_temporal(rows, "part", "a").persist()
+    assert {(r.split, r["count"]) for r in split.groupBy("split").count().collect()} == {("train", 48), ("test", 24)}
+    train, test = (split.filter(F.col("split") == s) for s in ("train", "test"))
+    stages, names, out = fit_stages(train, "d2", "features", "y", MULTIRATE_NAMES)
+    path = scratch_path(spark, "chain-" + uuid.uuid4().hex[:10])
+    save_model(spark, {"protocol": "d2", "intercept": 0.5, "coef": np.arange(len(names)), "feature_names": names,
+                       "stages": [(n, _state(s)) for n, s in stages]}, path)
+    with pytest.raises(ValueError):
+        load_model(spark, path, "d1")
+    again = {r.window_id: r.features_out for r in transform_protocol(test, load_model(spark, path, "d2")).collect()}
+    first = {r.window_id: r[out] for r in apply_stages(test, stages).select("window_id", out).collect()}
+    assert set(again) == set(first) and len(first) == 24
+    for k, v in first.items():
+        assert len(v) == 495
+        np.testing.assert_array_equal(np.asarray(again[k]), np.asarray(v))
+    with pytest.raises(ValueError):          # a label that isn't finite
+        train_protocol(train.withColumn("y", F.lit(float("nan"))), "d2")
+
+
 def test_model_protocol_guard(spark):
     from pulsegrid.session import scratch_path
     from pulsegrid.sources.files import load_model, save_model

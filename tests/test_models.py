@@ -220,7 +220,7 @@ def test_protocol_chains_side_by_side_equal_one_alone(spark):
     from conftest import SMALL
     from pulsegrid.operators import folds as FO
     from pulsegrid.operators.features import MULTIRATE_NAMES, features_multirate
-    from pulsegrid.plans.protocols import _state, fit_stages, train_protocol
+    from pulsegrid.plans.protocols import _state, evaluate, fit_stages, train_protocol, transform_protocol
     from pulsegrid.sources.tables import li_multi
     base = li_multi(spark, SMALL).filter(F.col("y").isNotNull())
     feats = features_multirate(base).join(base.select("window_id", "y"), "window_id")
@@ -237,3 +237,37 @@ def test_protocol_chains_side_by_side_equal_one_alone(spark):
                 np.testing.assert_array_equal(np.asarray(sa[k]), np.asarray(b[k]))
             else:
                 np.testing.assert_allclose(np.asarray(sa[k]), np.asarray(b[k]), rtol=1e-9, atol=1e-15)
+    # the metrics, recomputed from the model state and the labels alone
+    out = {r.window_id: np.asarray(r.features_out) for r in transform_protocol(feats, st).collect()}
+    lab = {r.window_id: r.y for r in feats.select("window_id", "y").collect()}
+    y = np.array([lab[k] for k in out])
+    r = y - st["intercept"] - np.array([out[k] @ np.asarray(st["coef"]) for k in out])
+    got, tops = evaluate(transform_protocol(feats, st), feats.select("window_id", "y"), st)
+    got = got.first()
+    assert got.n == len(y)
+    np.testing.assert_allclose([got.nmse, got.nmae, got.mae],
+                               [(r @ r) / ((y - y.mean()) ** 2).sum(), np.abs(r).sum() / np.abs(y - y.mean()).sum(),
+                                np.abs(r).mean()], rtol=1e-9)
+    assert [t.pos for t in tops.collect()] == sorted(range(495), key=lambda i: (-abs(st["coef"][i]), i))[:5]
+    means = [np.mean([m for p, _, m in st["scores"] if p == i]) for i in range(9)]
+    assert st["extra"]["best"] == int(np.argmin(means))
+
+
+def test_wearable_model_on_whole_windows(spark):
+    """Part c on a short grid: every test window gets a finite prediction by the chosen
+    model, and values that aren't finite fail."""
+    from conftest import SMALL
+    from pulsegrid.operators import folds as FO
+    from pulsegrid.plans.protocols import wearable_model
+    from pulsegrid.sources.tables import li_wear
+    w = FO.split_random(li_wear(spark, SMALL).filter(F.col("y").isNotNull()), "window_id", 0.2).persist()
+    train, test = (w.filter(F.col("split") == s) for s in ("train", "test"))
+    pred, model, info = wearable_model(train, test, alphas=(1e-2, 1.0), lasso_keep=20)
+    rows = pred.collect()
+    assert {r.window_id for r in rows} == {r.window_id for r in test.select("window_id").collect()}
+    assert all(np.isfinite(r.prediction) for r in rows) and len(info["selected"]) == len(model.coef) == 20
+    means = [np.mean([m for p, _, m in info["scores"] if p == i]) for i in range(2)]
+    assert info["best"] == int(np.argmin(means)) and model.meta["alpha"] == (1e-2, 1.0)[info["best"]]
+    broken = train.withColumn("bvp", F.transform("bvp", lambda v: v * float("inf")))
+    with pytest.raises(ValueError):
+        wearable_model(broken, test, alphas=(1.0,), lasso_keep=20)
