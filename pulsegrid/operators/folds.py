@@ -52,19 +52,25 @@ def validation_rows(df: DataFrame, fold: str, k: int) -> DataFrame:
     return df.filter(F.col(fold) == k)
 
 
-SAMPLE_BROADCAST_ROWS = 1_000_000
-
-
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """Exactly n rows (all if fewer), chosen by the seeded hash of the key.
 
-    Only (hash, key) pairs are take-ordered (each task keeps its n best pairs,
-    one merge keeps n), then the rows are fetched by a semi join whose key side
-    is bounded by n; wide rows never pile up in one task."""
+    A threshold on the hash, set from the row count, leaves little more than n
+    keys; only those (hash, key) pairs are ordered and cut to n, and the rows
+    are fetched by a semi join."""
+    total = df.count()
+    if total <= n:
+        return df
+    u, share = hash_unit(key, seed), (n + 5.0 * n ** 0.5 + 10.0) / total
+    near = df.select(key).filter(u < int(share * (1 << 32)))
+    while near.count() < n:              # a rare draw, or keys that repeat
+        share *= 2.0
+        near = df.select(key).filter(u < int(share * (1 << 32))) if share < 1.0 else df.select(key)
+        if share >= 1.0:
+            break
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    keys = df.select(key, h.alias("_h")).orderBy("_h", key).limit(n).select(key)
-    side = F.broadcast(keys) if n <= SAMPLE_BROADCAST_ROWS else keys   # bounded by n, not by the data
-    return df.join(side, key, "left_semi")
+    keys = near.withColumn("_h", h).orderBy("_h", key).limit(n).select(key)
+    return df.join(keys, key, "left_semi")
 
 
 def split_random(df: DataFrame, key: str, fraction: float, seed: int = 42, out: str = "split") -> DataFrame:

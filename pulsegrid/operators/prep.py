@@ -124,7 +124,7 @@ def column_medians(df: DataFrame, col: str, limit: int = MEDIAN_LIMIT, buckets:
                                         F.max("v").alias("hi")).collect()
     st = {(r["g"], r["pos"]): dict(m=r["m"], lo=r["lo"], hi=r["hi"], inb=r["m"]) for r in base}
     done = {k: float(s["lo"]) for k, s in st.items() if s["lo"] == s["hi"]}
-    for _ in range(64):
+    while True:      # the ends of a bracket fall into different buckets, so each round leaves fewer values
         active = [k for k, s in st.items() if k not in done and s["inb"] > limit]
         if not active:
             break
@@ -164,7 +164,10 @@ def column_medians(df: DataFrame, col: str, limit: int = MEDIAN_LIMIT, buckets:
             if v1 is not None and v2 is not None:
                 done[k] = (v1 + v2) / 2.0
                 continue
-            s.update(lo=spans[b1][2], hi=spans[b2][3], inb=spans[b2][1] - spans[b1][0] + 1)
+            inb = spans[b2][1] - spans[b1][0] + 1
+            if inb >= s["inb"]:
+                raise ValueError(f"no finite range of values at position {k[1]} of {col}")
+            s.update(lo=spans[b1][2], hi=spans[b2][3], inb=inb)
     rest = [k for k in st if k not in done]
     if rest:
         # final: collect the (bounded) bracket values and count what lies below

@@ -252,12 +252,18 @@ def q_check_width(spark, sf_dir):
     return C.check_width(ev_windows(spark, sf_dir), "x", 15)
 
 
-@register("check_schema", None)
+@register("check_schema", EVREG_SQL + """SELECT 'same_order' AS rule, '1' AS key, 'v_0 / v_1' AS detail, count(*) AS rows
+  FROM d""")
 def q_check_schema(spark, sf_dir):
-    """V2: training and scoring copies must list the same features in the same order."""
+    """V2: stored training and scoring copies must list the same features in the same order;
+    violations come with the rows of the scoring copy they concern."""
     w = _wide(spark, sf_dir)
-    test = w.select("window_id", "v_1", "v_0", *[f"v_{i}" for i in range(2, 16)])
-    return C.check_schema(spark, w.columns, test.columns, "hr", expected=17)
+    train, test = _scratch(spark, "schema-train"), _scratch(spark, "schema-test")
+    w.write.parquet(train)
+    w.select("window_id", "v_1", "v_0", *[f"v_{i}" for i in range(2, 16)]).write.parquet(test)
+    stored = spark.read.parquet(test)
+    found = C.check_schema(spark, spark.read.parquet(train).columns, stored.columns, "hr", expected=17)
+    return found.withColumn("rows", F.lit(stored.count()))
 
 
 def _check_consistent_sql():

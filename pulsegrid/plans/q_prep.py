@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.operators.linear import fit_lasso, predict_expr
 from pulsegrid.operators.prep import (LassoSelector, MedianImputer, PolynomialExpansion, PopulationScaler,
-                                      SelectKBest, column_medians, f_scores, poly_names)
+                                      SelectKBest, column_medians, f_scores)
 from pulsegrid.operators.robust import ALL_ROWS, GridPoint, best_point, fit_robust_grid
 from pulsegrid.plans.output import sql_round as R
 from pulsegrid.plans.q_models import EVREG_SQL, LI_SQL, ev_reg
@@ -41,13 +41,16 @@ def q_poly(spark, sf_dir):
     return d.select("window_id", F.posexplode("poly").alias("pos", "value"))
 
 
-@register("poly_names", """SELECT * FROM (VALUES (0, 'mean'), (1, 'std'), (2, 'mean^2'), (3, 'mean*std'),
-  (4, 'std^2')) t(pos, name) WHERE (SELECT count(*) FROM events) > 0""")
+@register("poly_names", EVREG_SQL + f"""SELECT pos::BIGINT AS pos, name, {R("mean")} AS mean FROM (
+  SELECT unnest(range(5)) AS pos, unnest(['mean', 'std', 'mean^2', 'mean*std', 'std^2']) AS name,
+         unnest([avg(x0), avg(x1), avg(x0 * x0), avg(x0 * x1), avg(x1 * x1)]) AS mean FROM d) t""")
 def q_poly_names(spark, sf_dir):
-    """T1 names for the expansion of (mean, std)."""
-    names = poly_names(["mean", "std"])
-    n = ev_windows(spark, sf_dir).limit(1).count()
-    return spark.createDataFrame([(i, s) for i, s in enumerate(names) if n > 0], "pos int, name string")
+    """T1 names for the expansion of (mean, std), each with the mean of its column."""
+    poly = PolynomialExpansion("features", "poly", width=2, names=["mean", "std"])
+    v = poly.transform(ev_reg(spark, sf_dir)).select(F.posexplode("poly").alias("pos", "value"))
+    names = F.array(*[F.lit(n) for n in poly.out_names()])
+    return v.groupBy("pos").agg(F.avg("value").alias("mean")).select(
+        "pos", F.element_at(names, F.col("pos") + 1).alias("name"), "mean")
 
 
 @register("scale_population", EVREG_SQL + """, m AS (SELECT avg(x0) AS a0, stddev_pop(x0) AS s0, avg(x1) AS a1,
