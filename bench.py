@@ -78,8 +78,8 @@ def plans():
 
     def part_d(spark, d):
         base = li_multi(spark, d).filter(F.col("y").isNotNull())
-        feats = features_multirate(base).join(base.select("window_id", "y", "subject", "blk"), "window_id")
-        feats = FO.split_temporal_blocks(feats, "subject", "blk", 0.2)
+        base = FO.split_temporal_blocks(base, "subject", "blk", 0.2)
+        feats = features_multirate(base, ["window_id", "y", "split"])
         st = train_protocol(feats.filter(F.col("split") == "train"), "d2")
         _run(transform_protocol(feats.filter(F.col("split") == "test"), st))
 
