@@ -32,7 +32,7 @@ def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
 class WordEncoder:
     """``encode(raw bytes) -> little-endian unsigned 32-bit ids`` of one whole text."""
 
-    def __init__(self, name: str, limit: int = 300_000):
+    def __init__(self, name: str, limit: int = 420_000):   # entries of a generation; two are held
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # one thread a task
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocabulary_path(name))
