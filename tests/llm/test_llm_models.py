@@ -146,6 +146,43 @@ def test_license_planted_lines(spark):
     assert S.scan(docs).count() == want > 20
 
 
+def notices(text):
+    """What the scanner finds, as places of words."""
+    at = {a: k for k, (a, _) in enumerate(S.words_of(text)[1])}
+    ends = {b: k + 1 for k, (_, b) in enumerate(S.words_of(text)[1])}
+    return [(r[0], at[r[2]], ends[r[2] + r[3]], r[5]) for r in S.Scanner(S.TEMPLATES).scan(text)]
+
+
+def prose_words(rng, n):
+    return ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(n)]
+
+
+def test_license_notices_in_a_long_text():
+    """A notice every 70 words of 20,000, words edited in every third: none is lost, wherever it lies."""
+    rng = random.Random(11)
+    every = [t for texts in S.TEMPLATES.values() for t in texts]
+    text, words, planted = [], 0, []
+    while words < 20_000:
+        text += prose_words(rng, 70)
+        notice = S.words_of(rng.choice(every))[0]
+        if len(planted) % 3 == 0:
+            for k in rng.sample(range(len(notice)), int(0.08 * len(notice))):
+                notice[k] = "permxx"
+        planted.append(len(" ".join(text)) + 1)
+        text += notice
+        words += 70 + len(notice)
+    text = " ".join(text)
+    got = notices(text)
+    assert [r[1] for r in got] == [len(S.words_of(text[:p])[0]) for p in planted]
+    rest = S.words_of(text)[0]
+    for _, a, b, _ in got:
+        rest[a:b] = ["-"] * (b - a)
+    for texts in S.TEMPLATES.values():
+        for t in texts:
+            t = S.words_of(t)[0]
+            assert S.align(t, rest)[0] > S.MOST_EDITS * len(t)
+
+
 def edits(rng, text, n):
     t = list(text)
     for _ in range(n):
