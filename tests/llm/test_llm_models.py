@@ -146,6 +146,23 @@ def test_license_planted_lines(spark):
     assert S.scan(docs).count() == want > 20
 
 
+def brute_notices(words):
+    """Every template aligned in every whole piece, best first: (license, first, end, edits)."""
+    known = [(name, S.words_of(t)[0]) for name, texts in S.TEMPLATES.items() for t in texts]
+    out, pieces = [], [(0, len(words))]
+    while pieces:
+        lo, hi = pieces.pop()
+        best = None
+        for name, t in known:
+            cost, first, end, _ = S.align(t, words[lo:hi])
+            if cost <= S.MOST_EDITS * len(t) and (best is None or cost - len(t) < best[0]):
+                best = (cost - len(t), name, lo + first, lo + end, cost)
+        if best:
+            out.append(best[1:])
+            pieces += [(lo, best[2]), (best[3], hi)]
+    return sorted(out, key=lambda r: r[1])
+
+
 def notices(text):
     """What the scanner finds, as places of words."""
     at = {a: k for k, (a, _) in enumerate(S.words_of(text)[1])}
@@ -183,6 +200,34 @@ def test_license_notices_in_a_long_text():
             assert S.align(t, rest)[0] > S.MOST_EDITS * len(t)
 
 
+def test_license_every_template_is_aligned():
+    """Notices beside lines that resemble many templates, against the alignment of every template."""
+    rng = random.Random(12)
+    near = ["Licensed under CC BY-ND 4.0.", "Licensed under CC BY-NC-SA 4.0.", "This work is licensed under a Creative "
+            "Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "This work is licensed under "
+            "a Creative Commons Attribution-NoDerivatives 3.0 License."]
+    short = ["All rights reserved.", "Released under the MIT License.", "Licensed under CC BY 4.0."]
+    key = lambda r: (r[1], r[2], r[3])  # noqa: E731  (licences of equal places differ by the reduction alone)
+    for k in range(60):
+        lines = [near[k % 4], short[k % 3]]
+        rng.shuffle(lines)
+        text = " ".join(prose_words(rng, 24) + lines + prose_words(rng, 80))
+        got = notices(text)
+        assert list(map(key, got)) == list(map(key, brute_notices(S.words_of(text)[0])))
+        assert ["all-rights-reserved", "MIT", "CC-BY-4.0"][k % 3] in {r[0] for r in got if not r[3]}
+    every = [t for texts in S.TEMPLATES.values() for t in texts]
+    for k in range(12):
+        text = []
+        for _ in range(5):
+            notice = rng.choice(every).split()
+            for _ in range(rng.randrange(0, 2 + len(notice) // 9)):
+                at = rng.randrange(len(notice))
+                notice[at:at + 1] = rng.choice([[], ["other"], [notice[at], "more"]])
+            text += notice + prose_words(rng, rng.randrange(0, 4))
+        text = " ".join(text)
+        assert list(map(key, notices(text))) == list(map(key, brute_notices(S.words_of(text)[0])))
+
+
 def edits(rng, text, n):
     t = list(text)
     for _ in range(n):
