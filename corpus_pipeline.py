@@ -49,8 +49,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    return _without(docs, decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id"))
+    """Documents that hold a benchmark item or a passage of one go."""
+    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"), window=decontam.PASSAGE)
+    return _without(docs, found.select("doc_id"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

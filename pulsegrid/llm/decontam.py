@@ -6,6 +6,9 @@ shares at least m - q + 1 - k q of its q-grams with the place it was copied
 to, all of them on diagonals at most k apart.  Shared q-grams are counted in
 bands of 2 (k + 1) diagonals that overlap by half; bands that reach the bound
 are regions, and an alignment of the item inside the region decides.
+
+Passages are found the same way: every window of so many characters of a longer
+item is an item of its own, with its own edit budget and bound.
 """
 
 from __future__ import annotations
@@ -17,12 +20,15 @@ from pyspark.sql import functions as F
 
 Q = 8
 EDIT_SHARE = 0.1          # edits allowed, as a share of the item's characters
+PASSAGE = 39              # characters of an item that make a leak of their own: half of a two-line question
 BLOCK_CHARS = 8_000_000   # characters of benchmark items searched for in one pass over the documents
 _MULT = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 _FILTER_BITS = 20
 
-_SCHEMA = "doc_id long, item_id long, start long, length long, edits int, item_chars int, shared_qgrams int"
-_NAMES = ["doc_id", "item_id", "start", "length", "edits", "item_chars", "shared_qgrams"]
+_SCHEMA = ("doc_id long, item_id long, start long, length long, edits int, item_chars int, shared_qgrams int, "
+           "window_start int, window_chars int")
+_NAMES = ["doc_id", "item_id", "start", "length", "edits", "item_chars", "shared_qgrams", "window_start",
+          "window_chars"]
 
 
 def plain(text: str | None) -> str:
@@ -54,7 +60,7 @@ def qgrams(c: np.ndarray) -> np.ndarray:
 class Index:
     """Q-grams of the items with their places."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], window: int | None = None):
         texts = [(i, plain(t)) for i, t in items]
         texts = [(i, t) for i, t in texts if t]
         self.ids = [i for i, _ in texts]
@@ -63,6 +69,10 @@ class Index:
         # an item shorter than Q must occur as it stands; others keep the bound at 1 or more
         self.budget = np.maximum(0, np.minimum((EDIT_SHARE * self.chars).astype(np.int64), (self.chars - Q) // Q))
         self.bound = self.chars - Q + 1 - self.budget * Q
+        self.window = window
+        if window is not None:
+            self.window_budget = max(0, min(int(EDIT_SHARE * window), (window - Q) // Q))
+            self.window_bound = window - Q + 1 - self.window_budget * Q
         grams = [qgrams(code_points(t)) for t in self.texts]
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams]).astype(np.int64)
         place = np.concatenate([np.arange(len(g)) for g in grams] or [np.empty(0)]).astype(np.int64)
@@ -77,25 +87,31 @@ class Index:
         self.seen[(self.keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
         self.short = [k for k in range(len(self.texts)) if self.chars[k] < Q]
 
-    def regions(self, c: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(item, lowest diagonal, highest diagonal, shared q-grams) of bands that reach their bound."""
+    def shared(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, place in the item, place in the text) of every shared q-gram."""
+        none = np.empty(0, np.int64)
         h = qgrams(c)
         at = np.flatnonzero(self.seen[(h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]) if len(h) else h
         if not len(at) or not len(self.keys):
-            return []
+            return none, none, none
         k = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
         ok = self.keys[k] == h[at]
         at, k = at[ok], k[ok]
         if not len(at):
-            return []
+            return none, none, none
         n = self.first[k + 1] - self.first[k]
         begin = np.repeat(self.first[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        item = self.item[begin]
+        return self.item[begin], self.place[begin], np.repeat(at, n)
+
+    def regions(self, item: np.ndarray, place: np.ndarray, pos: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(item, lowest diagonal, highest diagonal, shared q-grams) of bands that reach their bound."""
+        if not len(item):
+            return []
         rich = np.bincount(item, minlength=len(self.ids)) >= self.bound      # enough in the whole text at all
         ok = rich[item]
         if not ok.any():
             return []
-        item, place, pos = item[ok], self.place[begin[ok]], np.repeat(at, n)[ok]
+        item, place, pos = item[ok], place[ok], pos[ok]
         base = 2 * int(self.chars.max())                         # diagonals never fall below 0
         band = (pos - place + base) // (self.budget[item] + 1)   # half a band; a band is two neighbours
         width = int(band.max()) + 2
@@ -113,12 +129,53 @@ class Index:
                 out.append((i, b * step - base, (b + 2) * step - 1 - base, shared))
         return out
 
+    def windows(self, item: np.ndarray, place: np.ndarray, pos: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """(item, first place in the text, end, first character of the window, shared q-grams) of candidate windows.
+
+        Every window of every item longer than it counts the places it shares
+        within a band; both ends of a run of enough places bound its start.
+        """
+        if not len(item):
+            return []
+        least, step, last = self.window_bound, self.window_budget + 1, self.window - Q
+        ok = (self.chars > self.window)[item]
+        ok &= (np.bincount(item, minlength=len(self.ids)) >= least)[item]
+        if not ok.any():
+            return []
+        item, place, pos = item[ok], place[ok], pos[ok]
+        base = 2 * int(self.chars.max())
+        band = (pos - place + base) // step
+        width = int(band.max()) + 2
+        key = np.concatenate([item * width + band, item * width + band - 1])    # a band is two neighbours
+        both = np.unique(np.stack([key, np.concatenate([place, place])], axis=1), axis=0)
+        key, place = both[:, 0], both[:, 1]
+        n = len(key) - least + 1
+        if n <= 0:
+            return []
+        run = np.flatnonzero((key[least - 1:] == key[:n]) & (place[least - 1:] - place[:n] <= last))
+        out: dict[tuple, int] = {}
+        for j in run.tolist():
+            i, b = divmod(int(key[j]), width)
+            lo = b * step - base
+            near = place[j:j + last + 1][key[j:j + last + 1] == key[j]]
+            end = min(int(place[j]), int(self.chars[i]) - self.window) + 1
+            for s in range(max(0, int(place[j + least - 1]) - last), end):
+                same = int(np.searchsorted(near, s + last, "right"))
+                w = (i, lo + s - step + 1, lo + 2 * step + s + self.window + step - 1, s)
+                out[w] = max(out.get(w, 0), same)
+        return sorted((*w, n) for w, n in out.items())
+
     def find(self, text: str | None) -> list[tuple]:
-        """(item_id, start, length, edits, item_chars, shared) in the plain text; overlapping finds keep the best."""
+        """(item_id, start, length, edits, item_chars, shared, window_start, window_chars) in the plain text.
+
+        Overlapping finds of an item keep the best; a passage that overlaps a
+        find of its whole item or an earlier passage of it is no further find.
+        """
         text = plain(text)
         c = code_points(text)
         found: dict[int, list] = {}
-        for i, lo, hi, shared in self.regions(c):
+        hits = self.shared(c)
+        for i, lo, hi, shared in self.regions(*hits):
             budget, m = int(self.budget[i]), int(self.chars[i])
             a, b = max(0, lo - budget), min(len(c), hi + m + budget + 1)
             got = banded(self.texts[i], text[a:b], budget)
@@ -136,7 +193,27 @@ class Index:
             for edits, start, end, shared in sorted(places):
                 if all(end <= s or start >= e for _, s, e, _ in kept):
                     kept.append((edits, start, end, shared))
-            out += [(self.ids[i], s, e - s, d, int(self.chars[i]), n) for d, s, e, n in kept]
+            found[i] = kept
+            out += [(self.ids[i], s, e - s, d, int(self.chars[i]), n, 0, int(self.chars[i])) for d, s, e, n in kept]
+        if self.window is None:
+            return sorted(out, key=lambda r: (r[1], r[0]))
+        item, place, pos = hits
+        for i, kept in found.items():
+            for _, x, y, _ in kept:           # passages lie beside these finds, and so do their q-grams
+                ok = (item != i) | (pos + Q <= x) | (pos >= y)
+                item, place, pos = item[ok], place[ok], pos[ok]
+        for i, a, b, s, shared in self.windows(item, place, pos):
+            kept = found.setdefault(i, [])
+            free = [max(0, a), *(x for _, *place, _ in sorted(kept, key=lambda f: f[1]) for x in place
+                                 if place[1] > a and place[0] < b), min(len(c), b)]
+            for lo, hi in zip(free[::2], free[1::2]):
+                if hi - lo < self.window - self.window_budget:
+                    continue
+                got = banded(self.texts[i][s:s + self.window], text[lo:hi], self.window_budget)
+                if got is not None:
+                    edits, start, end = got
+                    kept.append((edits, lo + start, lo + end, shared))
+                    out.append((self.ids[i], lo + start, end - start, edits, int(self.chars[i]), shared, s, self.window))
         return sorted(out, key=lambda r: (r[1], r[0]))
 
 
@@ -169,9 +246,14 @@ def banded(item: str, region: str, budget: int) -> tuple[int, int, int] | None:
     return (int(cost[end]), int(start[end]), end) if cost[end] <= budget else None
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 window: int | None = None) -> DataFrame:
     """One row per document and place of a benchmark item (start and length in the plain text).
 
+    With ``window``, also of every passage of so many characters of a longer
+    item: ``window_start`` and ``window_chars`` tell which (the whole item: 0
+    and ``item_chars``).
+
     The items are the stated query set: they are searched for in blocks of
     about ``BLOCK_CHARS`` characters, one pass over all documents each.  Null
     and empty texts and items match nothing; a null doc_id is carried;
@@ -191,14 +273,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         held = spark.sparkContext.broadcast([tuple(r) for r in block.orderBy("item_id", "text").collect()])
 
         def run(batches, held=held):
-            index = Index(held.value)
+            index = Index(held.value, window)
             for b in batches:
                 found = [(d, *r) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
                          for r in index.find(t)]
                 if found:
                     cols = list(zip(*found))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.int32()] * 3)], names=_NAMES)
+                        [pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.int32()] * 5)], names=_NAMES)
         part = rows.mapInArrow(run, _SCHEMA)
         out = part if out is None else out.unionAll(part)
     return out

@@ -33,7 +33,8 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                 window=decontam.PASSAGE)
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -281,6 +281,46 @@ def test_leaks_edges(spark, edge, none, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in again} == {(3, 1), (4, 1), (5, 4)}
 
 
+def test_leaks_of_passages(spark):
+    """Halves and passages of items, some edited, against the alignment of every window."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("etaoinshr") for _ in range(rng.randrange(2, 8)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    items = [(0, prose(15)), (1, prose(40)), (2, prose(150)), (3, prose(3))]
+    docs = []
+    for k in range(18):
+        item = items[k % 3][1]
+        n = [len(item) // 2 + 1, 60, 42, 36, 30][k % 5]
+        at = rng.choice([0, len(item) - n, rng.randrange(len(item) - n)])
+        docs.append(doc(k, prose(10) + " " + edits(rng, item[at:at + n], k // 5) + " " + prose(10)))
+    docs.append(doc(50, prose(9) + " " + " ".join(items[2][1].split()[40:100]) + "\n" + items[1][1] + " " + items[0][1][:44]))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = D.contaminated(spark.createDataFrame(docs, DOCS), bench, window=D.PASSAGE).collect()
+    got, w = {(r.doc_id, r.item_id) for r in rows}, D.PASSAGE
+    for d, text, *_ in docs:
+        t = D.plain(text)
+        for i, item in items[:3]:
+            if i == d % 3 or d == 50:
+                near = any(best_edits(item[s:s + w], t) <= int(0.1 * w) for s in range(len(item) - w + 1))
+                assert ((d, i) in got) == near, (d, i)
+    assert {(50, 0), (50, 1), (50, 2)} <= got and len(got) < 20
+    text = {d: D.plain(t) for d, t, *_ in docs}
+    for r in rows:
+        window = items[r.item_id][1][r.window_start:r.window_start + r.window_chars]
+        assert best_edits(window, text[r.doc_id][r.start:r.start + r.length]) == r.edits <= int(0.1 * r.window_chars)
+    assert [(r.window_start, r.window_chars) for r in rows if (r.doc_id, r.item_id) == (50, 1)] == [(0, len(items[1][1]))]
+    own = [(r.start, r.start + r.length) for r in rows if (r.doc_id, r.item_id) == (50, 2)]
+    assert len(own) > 3 and all(a[1] <= b[0] for a, b in zip(sorted(own), sorted(own)[1:]))
+
+
+def test_pipeline_drops_half_items(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    items = [r.text for r in spark.read.parquet(SMALL + "/benchmark.parquet").collect()]
+    rows = [doc(k, "some words before " + (t[:len(t) // 2 + 1] if k % 2 else t[len(t) // 2 - 1:]) + " and after")
+            for k, t in enumerate(items)] + [doc(1000, "no item at all")]
+    assert [r.doc_id for r in pipeline.decontaminate(spark, spark.createDataFrame(rows, DOCS), SMALL).collect()] == [1000]
+
+
 def test_pipeline_stages(spark, edge, none, tmp_path_factory):
     pipeline = pytest.importorskip("corpus_pipeline")
     assert [n for n, _ in pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "decontaminate", "packing"]
