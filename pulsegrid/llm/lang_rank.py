@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pulsegrid.llm.common import crc_text, hash_sample, worker_state
+from pulsegrid.llm.common import crc_text, worker_state
 
 TOP = 400
-SAMPLE_DOCS = 8000        # documents the profiles are learned from, at most
+SAMPLE_DOCS = 8000        # documents a language's profile is learned from, at most
 UNKNOWN = "und"
 _BITS = 20                # bits of a letter's code point (none lies above plane 3)
 _SPLIT = 1 << 16          # characters counted at once, so a huge text needs little memory
@@ -73,9 +73,18 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL").filter(
         F.coalesce(F.pmod(crc_text("id"), F.lit(folds)) != held_out, F.lit(False)))
-    chosen = hash_sample(rows.select("id", "lang"), ["id", "lang"], SAMPLE_DOCS)
-    rows = rows.join(F.broadcast(chosen.select(F.col("id").alias("_id")).distinct()), F.col("id") == F.col("_id"),
-                     "left_semi").select("text", "lang")
+    # a hash threshold from each language's own count keeps a few more than the bound; the cut is by that hash
+    h = F.pmod(F.xxhash64("id", "lang"), F.lit(1 << 30))
+    large = rows.groupBy("lang").count().filter(F.col("count") > SAMPLE_DOCS)
+    share = F.least(F.lit(1.0), F.lit(1.25 * SAMPLE_DOCS) / F.col("count"))
+    large = large.select(F.col("lang").alias("_lang"), (share * (1 << 30)).cast("long").alias("_below"))
+    few = rows.select("id", "lang", h.alias("_h")).join(F.broadcast(large), F.col("lang") == F.col("_lang"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "id"))
+    last = few.filter("_h < _below").withColumn("_n", place).filter(F.col("_n") <= SAMPLE_DOCS).groupBy("lang").agg(
+        F.max(F.struct("_h", "id")).alias("_last")).withColumnRenamed("lang", "_lang")
+    rows = rows.withColumn("_key", F.struct(h.alias("_h"), "id")).join(F.broadcast(last), F.col("lang") == F.col("_lang"),
+                                                                       "left")
+    rows = rows.filter("_last IS NULL OR _key <= _last").select("text", "lang")
 
     def run(batches):
         for b in batches:

@@ -1,6 +1,7 @@
 """Quality machine, language profiles, licences, benchmark leaks, pipeline."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -76,6 +77,22 @@ def test_language_edges(spark, edge, none):
     assert {(r.lang_pred, r.score) for r in L.language_rows(nothing).collect()} == {("und", 0.0)}
 
 
+def test_language_sample_is_per_language(spark, monkeypatch):
+    """A rare language keeps all its documents when a common one is beyond the bound."""
+    monkeypatch.setattr(L, "SAMPLE_DOCS", 40)
+    rows = [(i, "the quick brown fox", "en") for i in range(6000)] + [(10_000 + i, "zażółć gęślą jaźń", "pl") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    every = L.learn(docs.filter("lang = 'pl'"))
+    got = L.learn(docs)
+    assert sorted(got) == ["en", "pl"] and got["pl"] == every["pl"]
+    monkeypatch.setattr(L, "TOP", 10 ** 6)
+    texts = [(i, f"w{chr(0x4e00 + i)}", "en" if i < 3000 else "pl") for i in range(3030)]
+    out = L.learn(spark.createDataFrame(texts, "doc_id long, text string, lang string"))
+    ones = {k: sum(1 for g in p if (1 << L._BITS) > g >= 0x4e00) for k, p in out.items()}
+    held = sum(1 for i in range(3000, 3030) if zlib.crc32(str(i).encode()) % 3 == 1)
+    assert ones == {"en": 40, "pl": 30 - held}
+
+
 def brute_grams(text):
     from collections import Counter
     out, padded = Counter(), " "
