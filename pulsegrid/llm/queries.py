@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import (chat_format, decontam, exact_dedup, kd_shards, lang_rank, license_scan,
-                           near_dedup, packing, quality_fm, token_store)
+from pulsegrid.llm import (byte_bpe, chat_format, decontam, exact_dedup, kd_shards, lang_rank, license_scan, merkle,
+                           near_dedup, packing, prefix_trie, quality_fm, token_store)
 from pulsegrid.llm.common import table
 
 
@@ -53,8 +53,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("node")
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_kd_shards, op2_quality_fm, op3_token_store, op4_lang_rank, op5_license_scan, op6_decontaminate,
-    op7_exact_dedup, op8_odd_sketch, op9_chat_format, op10_packing)}
+    op7_exact_dedup, op8_odd_sketch, op9_chat_format, op10_packing, op11_merkle_manifest, op12_prefix_trie,
+    op13_byte_bpe)}
 ORACLES = {"op7_exact_dedup": exact_dedup.SQL, "op8_odd_sketch": near_dedup.SQL,
-           "op9_chat_format": chat_format.SQL}
+           "op9_chat_format": chat_format.SQL, "op11_merkle_manifest": merkle.SQL, "op12_prefix_trie": prefix_trie.SQL}
