@@ -2,12 +2,18 @@
 
 The pre-tokens of a text are the matches of the vocabulary's pattern.  Texts
 are cut into pre-tokens block by block; a block (a bounded number of rows of
-one task) keeps which of its distinct words stands at which position.  Only
-(block, slot, word) is exploded and shuffled: the words meet over all blocks,
-each distinct one is merged once, and its ids are joined back to the blocks
-that hold it, where texts are put together again by position.  Decoding is the
-same with the roles changed: distinct ids per block, joined with the table of
-token bytes.  A word that makes up a third of all pre-tokens is one row a block.
+one task) keeps which of its distinct words stands at which position.  Only the
+block's distinct words with their slots are exploded and shuffled, dealt to
+buckets by a hash of the word, so equal words of all blocks meet: there a word
+is merged once and its ids go back to every block that holds it, where the
+texts are put together again by position.  A word that makes up a third of all
+pre-tokens is one entry a block.  A row of the shuffle packs the words of one
+block and bucket, which is a fraction of a row per word.  The blocks themselves
+are dealt by their key once; both the words and the join read that exchange.  A
+block's key is a digest of what is in it, so words of a block that was computed
+anew with other rows can't be taken for the old one's: that raises.  Decoding
+joins ids with the token bytes, whose table is as long as the vocabulary file,
+so every task holds it and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -16,15 +22,20 @@ import base64
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+import xxhash
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsegrid.llm.common import materialise, worker_state
+from pulsegrid.llm.common import BoundedMap, worker_state
 from pulsegrid.llm.tokens import vocabulary_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-BLOCK_ITEMS = 1 << 20     # pre-tokens or ids of a block, but for a longer single text
+BLOCK_ITEMS = 1 << 22     # pre-tokens of a block, but for a longer single text
+WORDS_HELD = 200_000      # words of a bucket whose ids are kept at once (two generations)
+PART_ITEMS = 1 << 18      # pre-tokens that are put together at once
 SLICE_CHARS = 1 << 20     # a longer text is cut before white space that follows other characters
 
 
@@ -34,11 +45,16 @@ def read_ranks(name: str = VOCABULARY) -> dict[bytes, int]:
         return {base64.b64decode(t): int(r) for t, r in (line.split() for line in f if line.strip())}
 
 
-def token_bytes(spark: SparkSession, name: str = VOCABULARY) -> DataFrame:
-    """The vocabulary as ``id, token`` (as many rows as the file has)."""
-    ranks = read_ranks(name)
-    return spark.createDataFrame(pa.table({"id": pa.array(ranks.values(), pa.int32()),
-                                           "token": pa.array(ranks.keys(), pa.binary())}))
+def _token_table(name: str) -> pa.Array:
+    """Token bytes by id (null where the vocabulary has none), loaded once a worker."""
+    state = worker_state().__dict__.setdefault("token_tables", {})
+    if name not in state:
+        ranks = read_ranks(name)
+        tokens: list = [None] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            tokens[i] = token
+        state[name] = pa.array(tokens, pa.binary())
+    return state[name]
 
 
 def _splitter(pattern: str):
@@ -74,85 +90,129 @@ def slices(text: str, size: int = SLICE_CHARS):
     yield text[at:]
 
 
-def _block_schema(rows: T.StructType, item: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField("block", T.LongType()), T.StructField("items", T.ArrayType(item)),
-                         T.StructField("rows", T.ArrayType(T.StructType([
-                             *[T.StructField(f.name, f.dataType) for f in rows], T.StructField("_n", T.LongType())]))),
-                         T.StructField("slots", T.BinaryType())])
-
-
-def _emit(arrow: pa.Schema, block: int, kept: list[dict], lengths: list[int], items: pa.Array) -> pa.RecordBatch:
-    """One block row: distinct items, its rows with their lengths, and the slot of every position."""
-    coded = items.dictionary_encode()
-    slots = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
-    rows = [r | {"_n": n} for r, n in zip(kept, lengths, strict=True)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([block], pa.int64()), pa.array([coded.dictionary.to_pylist()], arrow.field("items").type),
-         pa.array([rows], arrow.field("rows").type), pa.array([slots.tobytes()], arrow.field("slots").type)],
-        schema=arrow)
-
-
-def _to_blocks(df: DataFrame, keep: list[str], column: str, item: T.DataType, item_type: pa.DataType, cut, name: str) -> DataFrame:
-    """Rows to written block rows; ``cut(value) -> items`` (a list or array) of one row's ``column``."""
+def _pack(*columns: np.ndarray, tail: bytes = b"") -> bytes:
+    """Columns of 32-bit numbers, byte plane by byte plane, and a tail, compressed."""
+    head = np.array([len(columns), *map(len, columns)], "<u4").tobytes()
+    planes = [np.asarray(c).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for c in columns]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([head, *planes, tail]))
+
+
+def _unpack(raw: bytes) -> tuple[list[np.ndarray], bytes]:
+    """The columns and the tail of ``_pack``."""
+    data = zstandard.ZstdDecompressor().decompress(raw)
+    n = int(np.frombuffer(data, "<u4", 1)[0])
+    sizes, at, out = np.frombuffer(data, "<u4", n, 4), 4 + 4 * n, []
+    for size in sizes.tolist():
+        planes = np.frombuffer(data, np.uint8, 4 * size, at).reshape(4, size)
+        out.append(np.ascontiguousarray(planes.T).view("<u4").ravel())
+        at += 4 * size
+    return out, data[at:]
+
+
+def _pack_words(words: pa.StringArray, buckets: int) -> list[dict]:
+    """Distinct words of a block by bucket: their bytes in order, lengths and slots."""
+    order = pc.array_sort_indices(words).to_numpy()
+    deal = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words.to_pylist()), np.int64, len(words))
+    order = order[np.argsort(deal[order], kind="stable")]
+    taken = words.take(pa.array(order))
+    ends = np.frombuffer(taken.buffers()[1], np.int32, len(taken) + 1, taken.offset * 4)
+    data = taken.buffers()[2]
+    found, first = np.unique(deal[order], return_index=True)
+    out = []
+    for k, a, b in zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(order)]):
+        text = data.slice(int(ends[a]), int(ends[b] - ends[a])).to_pybytes()
+        out.append({"bucket": k, "words": _pack(np.diff(ends[a:b + 1]), order[a:b], tail=text)})
+    return out
+
+
+def to_blocks(docs: DataFrame, keep: list[str], text_col: str, pattern: str, buckets: int) -> DataFrame:
+    """Block rows ``block, rows, slots, parts``, dealt by ``block``: the rows' other columns with their number
+    of pre-tokens (``_n``), the slot of the word at every position, and the distinct words by bucket."""
     from pyspark.sql.pandas.types import to_arrow_schema
-    kept_fields = [df.schema[c] for c in keep]
-    schema = _block_schema(kept_fields, item)
+    row = T.StructType([*[docs.schema[c] for c in keep], T.StructField("_n", T.LongType())])
+    part = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("words", T.BinaryType())])
+    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("rows", T.ArrayType(row)),
+                           T.StructField("slots", T.BinaryType()), T.StructField("parts", T.ArrayType(part))])
     arrow = to_arrow_schema(schema)
 
-    def kern(batches):
-        from pyspark import TaskContext
-        block = TaskContext.get().partitionId() << 32
-        rows, lengths, parts, total = [], [], [], 0
-        for b in batches:
-            values = b.column(column)
-            own = b.select(keep).to_pylist()
-            for i in range(b.num_rows):
-                items = pa.array(cut(values[i]), item_type)
-                if rows and total + len(items) > BLOCK_ITEMS:
-                    yield _emit(arrow, block, rows, lengths, pa.concat_arrays(parts))
-                    block, rows, lengths, parts, total = block + 1, [], [], [], 0
-                rows.append(own[i])
-                lengths.append(len(items))
-                parts.append(items)
-                total += len(items)
-        if rows:
-            yield _emit(arrow, block, rows, lengths, pa.concat_arrays(parts))
-
-    source = df.select(*keep, *([] if column in keep else [column]))
-    return materialise(source.mapInArrow(kern, schema), name)
-
-
-def _from_blocks(blocks: DataFrame, looked_up: DataFrame, keep: list[str], out: T.StructType, build) -> DataFrame:
-    """Block rows and ``block, slot, value`` back to one row per input row.
-
-    ``build(values, slots, lengths) -> dict`` of the arrays of a block's
-    results, ``values`` in slot order.
-    """
-    from pyspark.sql.pandas.types import to_arrow_schema
-    values = looked_up.groupBy("block").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("slot", "value"))), lambda v: v["value"]).alias("values"))
-    joined = blocks.select("block", "rows", "slots").join(values, "block", "left").select("rows", "slots", "values")
-    fields = [f for f in blocks.schema["rows"].dataType.elementType if f.name != "_n"]
-    schema = T.StructType([*fields, *out])
-    arrow = to_arrow_schema(schema)
+    def emit(place, kept, lengths, coded):
+        whole = pa.chunked_array(coded).unify_dictionaries()
+        slots = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in whole.chunks])
+        slots, parts = _pack(slots), _pack_words(whole.chunk(0).dictionary, buckets)
+        key = xxhash.xxh64(repr(place).encode() + slots)
+        for p in parts:
+            key.update(p["words"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([key.intdigest() - (1 << 63)], pa.int64()),
+             pa.array([[r | {"_n": n} for r, n in zip(kept, lengths, strict=True)]], arrow.field("rows").type),
+             pa.array([slots], arrow.field("slots").type), pa.array([parts], arrow.field("parts").type)], schema=arrow)
 
     def kern(batches):
-        for b in batches:
-            for i in range(b.num_rows):
-                rows = b.column("rows")[i].values
-                lengths = rows.field("_n").to_numpy(zero_copy_only=False)
-                slots = np.frombuffer(b.column("slots")[i].as_py(), np.int32)
-                found = b.column("values")[i]
-                arrays = build(found.values if found.is_valid else None, slots, lengths)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.field(f.name).cast(arrow.field(f.name).type) for f in fields]
-                    + [pa.array(arrays[f.name], arrow.field(f.name).type) for f in out], schema=arrow)
+        from pyspark import TaskContext
+        find, partition = _splitter(pattern), TaskContext.get().partitionId()
+        block, kept, lengths, coded, held, waiting, total = 0, [], [], [], [], 0, 0
 
-    return joined.mapInArrow(kern, schema)
+        def code():
+            coded.append(pa.concat_arrays(held).dictionary_encode())
+            held.clear()
 
+        for b in batches:
+            own = b.select(keep).to_pylist() if keep else [{}] * b.num_rows
+            for r, text in zip(own, b.column(text_col)):
+                text = text.as_py() or ""
+                words = find(text) if len(text) <= SLICE_CHARS else [w for part in slices(text) for w in find(part)]
+                if kept and total + len(words) > BLOCK_ITEMS:
+                    if held:
+                        code()
+                    yield emit((partition, block), kept, lengths, coded)
+                    block, kept, lengths, coded, waiting, total = block + 1, [], [], [], 0, 0
+                kept.append(r)
+                lengths.append(len(words))
+                held.append(pa.array(words, pa.string()))
+                waiting, total = waiting + len(words), total + len(words)
+                if waiting >= PART_ITEMS:
+                    code()
+                    waiting = 0
+        if kept:
+            if held:
+                code()
+            yield emit((partition, block), kept, lengths, coded)
+
+    return docs.select(*keep, text_col).mapInArrow(kern, schema).repartition("block")
+
+
+def word_ids(blocks: DataFrame, name: str) -> DataFrame:
+    """``block, ids``: packed slots, lengths and ids of a block's words of one bucket.
+
+    The rows of a bucket lie in one run of a partition, so a word of many
+    blocks is merged for the first of them and looked up for the others."""
+    def merge(batches):
+        bucket, known = None, {}
+        one = _merger(name)
+        for b in batches:
+            out = []
+            for k, raw in zip(b.column("bucket").to_pylist(), b.column("words")):
+                if k != bucket:
+                    bucket, known = k, BoundedMap(lambda w: np.array(one(w), "<u4").tobytes(), WORDS_HELD)
+                (lengths, slots), text = _unpack(raw.as_py())
+                ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).tolist()
+                ids = [known[text[x:y]] for x, y in zip(ends, ends[1:])]
+                out.append(_pack(slots, np.fromiter(map(len, ids), np.int64, len(ids)) // 4,
+                                 np.frombuffer(b"".join(ids), "<u4")))
+            yield pa.RecordBatch.from_arrays([b.column("block"), pa.array(out, pa.binary())], names=["block", "ids"])
+
+    def explode(batches):      # reads whole block rows, so that the exchange below is the join's as well
+        for b in batches:
+            lists = b.column("parts")
+            parts = lists.flatten()
+            size = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(b.column("block").to_numpy(), size)), parts.field("bucket"), parts.field("words")],
+                names=["block", "bucket", "words"])
 
-def _exploded(blocks: DataFrame, item: str) -> DataFrame:
-    return blocks.select("block", F.posexplode("items").alias("slot", item))
+    parts = blocks.mapInArrow(explode, "block long, bucket int, words binary")
+    return (parts.repartition("bucket").sortWithinPartitions("bucket")
+                 .mapInArrow(merge, "block long, ids binary"))
 
 
 def encode(docs: DataFrame, text_col: str = "text", name: str = VOCABULARY, pattern: str | None = None) -> DataFrame:
@@ -166,37 +226,43 @@ def encode(docs: DataFrame, text_col: str = "text", name: str = VOCABULARY, patt
     if pattern is None:
         import public_tokenizers
         pattern = public_tokenizers.PATTERN
+    from pyspark.sql.pandas.types import to_arrow_schema
     keep = [c for c in docs.columns if c not in (text_col, "ids", "_n")]
+    # as many buckets as keep a task's share of the words small at the session's own partition count
+    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = to_blocks(docs, keep, text_col, pattern, buckets)
+    found = word_ids(blocks, name).groupBy("block").agg(F.collect_list("ids").alias("found"))
+    joined = blocks.join(found.hint("merge"), "block", "left")
+    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    arrow = to_arrow_schema(schema)
 
-    def cut(value):
-        text = value.as_py() or ""
-        find = _splitter(pattern)
-        if len(text) <= SLICE_CHARS:
-            return find(text)
-        return [w for part in slices(text) for w in find(part)]
-
-    blocks = _to_blocks(docs, keep, text_col, T.StringType(), pa.string(), cut, "bpe-blocks")
-    words = _exploded(blocks, "word")
+    def rows_of(rows, positions, found):
+        """Batches of a block's rows, about PART_ITEMS pre-tokens each."""
+        ends = np.concatenate([[0], np.cumsum(rows.field("_n").to_numpy(zero_copy_only=False))])
+        parts = [_unpack(v.as_py())[0] for v in found.values] if found.is_valid else []
+        slot, length, flat = (np.concatenate(c) for c in zip(*parts)) if parts else np.zeros((3, 0), np.uint32)
+        if len(slot) != (positions.max() + 1 if len(positions) else 0):
+            raise RuntimeError("a block's words are missing: its rows were not the same when it was computed anew")
+        at = np.concatenate([[0], np.cumsum(length, dtype=np.int64)]).astype(np.int32)
+        words = pa.ListArray.from_arrays(pa.array(at), pa.array(flat.astype(np.int32)))
+        place = np.empty(len(slot), np.int32)
+        place[slot] = np.arange(len(slot), dtype=np.int32)
+        cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(ends[1:] // PART_ITEMS)) + 1, [len(rows)]]))
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            taken = words.take(pa.array(place[positions[ends[lo]:ends[hi]]]))      # ids of every position
+            at = taken.offsets.to_numpy()[ends[lo:hi + 1] - ends[lo]]
+            part = rows.slice(lo, hi - lo)
+            yield pa.RecordBatch.from_arrays(
+                [*[part.field(c).cast(arrow.field(c).type) for c in keep],
+                 pa.ListArray.from_arrays(pa.array(at - at[0], pa.int32()), taken.flatten())], schema=arrow)
 
-    def merge(batches):
-        one = _merger(name)
+    def kern(batches):
         for b in batches:
-            ids = [one(w) for w in b.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("word"), pa.array(ids, pa.list_(pa.int32()))],
-                                             names=["word", "value"])
-
-    known = words.select("word").distinct().mapInArrow(merge, "word string, value array<int>")
-    looked_up = words.join(known, "word").select("block", "slot", "value")
-
-    def build(values, slots, lengths):
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        if values is None:
-            return {"ids": pa.ListArray.from_arrays(pa.array(np.zeros(len(ends), np.int32)), pa.array([], pa.int32()))}
-        taken = values.take(pa.array(slots))                      # ids of every position
-        at = taken.offsets.to_numpy()[ends]                       # of every row
-        return {"ids": pa.ListArray.from_arrays(pa.array(at - at[0], pa.int32()), taken.flatten())}
+            for i in range(b.num_rows):
+                (positions,), _ = _unpack(b.column("slots")[i].as_py())
+                yield from rows_of(b.column("rows")[i].values, positions, b.column("found")[i])
 
-    return _from_blocks(blocks, looked_up, keep, T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType()))]), build)
+    return joined.mapInArrow(kern, schema)
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", name: str = VOCABULARY) -> DataFrame:
@@ -204,28 +270,36 @@ def decode(encoded: DataFrame, ids_col: str = "ids", name: str = VOCABULARY) ->
 
     Null ids count as none; an id that the vocabulary doesn't have raises.
     """
-    keep = [c for c in encoded.columns if c not in (ids_col, "decoded", "_n")]
-    blocks = _to_blocks(encoded, keep, ids_col, T.IntegerType(), pa.int32(),
-                        lambda v: v.values if v.is_valid else [], "bpe-id-blocks")
-    table = F.broadcast(token_bytes(encoded.sparkSession, name))   # one row per entry of the vocabulary file
-    value = F.coalesce("token", F.raise_error(F.concat(F.lit("no token has id "), F.col("id").cast("string"))).cast("binary"))
-    looked_up = _exploded(blocks, "id").join(table, "id", "left").select("block", "slot", value.alias("value"))
-
-    def build(values, slots, lengths):
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        if values is None:
-            return {"decoded": pa.array([b""] * len(lengths), pa.binary())}
-        taken = values.take(pa.array(slots))
-        data = b"".join(taken.to_pylist())
-        at = np.concatenate([[0], np.cumsum(pa.compute.binary_length(taken).to_numpy())])[ends]
-        return {"decoded": [data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]}
+    from pyspark.sql.pandas.types import to_arrow_schema
+    keep = [c for c in encoded.columns if c not in (ids_col, "decoded")]
+    schema = T.StructType([*[encoded.schema[c] for c in keep], T.StructField("decoded", T.BinaryType())])
+    arrow = to_arrow_schema(schema)
 
-    return _from_blocks(blocks, looked_up, keep, T.StructType([T.StructField("decoded", T.BinaryType())]), build)
+    def kern(batches):
+        table = _token_table(name)
+        for b in batches:
+            ids = b.column(ids_col)
+            flat = ids.flatten()
+            bad = pc.filter(flat, pc.or_(pc.less(flat, 0), pc.greater_equal(flat, len(table))))
+            tokens = None if len(bad) else table.take(flat)
+            if tokens is None or tokens.null_count:
+                wrong = bad if len(bad) else flat.filter(pc.is_null(tokens))
+                raise ValueError(f"no token has id {wrong[0].as_py()}")
+            lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            # the tokens of a row lie side by side: its bytes are the same buffer with wider offsets
+            at = np.frombuffer(tokens.buffers()[1], np.int32, len(tokens) + 1, tokens.offset * 4)[ends] if len(tokens) \
+                else np.zeros(len(ends), np.int32)
+            data = tokens.buffers()[2] or pa.py_buffer(b"")
+            texts = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(at.astype(np.int32)), data])
+            yield pa.RecordBatch.from_arrays([*[b.column(c).cast(arrow.field(c).type) for c in keep], texts], schema=arrow)
+
+    return encoded.select(*keep, ids_col).mapInArrow(kern, schema)
 
 
 def round_trip(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document, from the written ids and their decoding."""
-    ids = materialise(encode(docs.select("doc_id", "text")), "bpe-ids")
-    digests = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids")
-    return decode(digests).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document, from its ids and their decoding."""
+    ids = encode(docs.select("doc_id", "text")).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids")
+    return decode(ids).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
