@@ -13,17 +13,24 @@ item is an item of its own, with its own edit budget and bound.
 
 from __future__ import annotations
 
+import uuid
+from itertools import pairwise
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.common import worker_state
+
 Q = 8
 EDIT_SHARE = 0.1          # edits allowed, as a share of the item's characters
 PASSAGE = 39              # characters of an item that make a leak of their own: half of a two-line question
 BLOCK_CHARS = 8_000_000   # characters of benchmark items searched for in one pass over the documents
 _MULT = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 _FILTER_BITS = 20
+ALIGN_ROWS = 4096         # candidate passages tried at once
+TEXT_CHARS = 4_000_000    # characters of texts searched together, but for a longer single text
 
 _SCHEMA = ("doc_id long, item_id long, start long, length long, edits int, item_chars int, shared_qgrams int, "
            "window_start int, window_chars int")
@@ -73,7 +80,8 @@ class Index:
         if window is not None:
             self.window_budget = max(0, min(int(EDIT_SHARE * window), (window - Q) // Q))
             self.window_bound = window - Q + 1 - self.window_budget * Q
-        grams = [qgrams(code_points(t)) for t in self.texts]
+        self.points = [code_points(t) for t in self.texts]
+        grams = [qgrams(c) for c in self.points]
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams]).astype(np.int64)
         place = np.concatenate([np.arange(len(g)) for g in grams] or [np.empty(0)]).astype(np.int64)
         flat = np.concatenate(grams or [np.empty(0, np.uint64)]).astype(np.uint64)
@@ -146,24 +154,72 @@ class Index:
         base = 2 * int(self.chars.max())
         band = (pos - place + base) // step
         width = int(band.max()) + 2
-        key = np.concatenate([item * width + band, item * width + band - 1])    # a band is two neighbours
-        both = np.unique(np.stack([key, np.concatenate([place, place])], axis=1), axis=0)
-        key, place = both[:, 0], both[:, 1]
+        # most half bands hold too few shared q-grams, even with repeats: they go before any sorting by place
+        half = item * width + band
+        keys, count = counted(half)
+        near = np.concatenate([np.where(keys[1:] == keys[:-1] + 1, count[1:], 0), [0]])
+        good = count + near >= least                     # bands by their lower half
+        if not good.any():
+            return []
+        lower, upper = good, np.concatenate([[False], good[:-1] & (near[:-1] > 0)])
+        used = np.searchsorted(keys, half)
+        part = np.flatnonzero((lower | upper)[used])
+        half, place, used = half[part], place[part], used[part]
+        span = int(self.chars.max()) + 1
+        both = np.unique(np.concatenate([half[lower[used]] * span + place[lower[used]],
+                                         (half[upper[used]] - 1) * span + place[upper[used]]]))
+        key, place = both // span, both % span
         n = len(key) - least + 1
         if n <= 0:
             return []
-        run = np.flatnonzero((key[least - 1:] == key[:n]) & (place[least - 1:] - place[:n] <= last))
-        out: dict[tuple, int] = {}
-        for j in run.tolist():
-            i, b = divmod(int(key[j]), width)
+        run = (key[least - 1:] == key[:n]) & (place[least - 1:] - place[:n] <= last)
+        out = []
+        for k in np.unique(key[:n][run]).tolist():
+            i, b = divmod(k, width)
             lo = b * step - base
-            near = place[j:j + last + 1][key[j:j + last + 1] == key[j]]
-            end = min(int(place[j]), int(self.chars[i]) - self.window) + 1
-            for s in range(max(0, int(place[j + least - 1]) - last), end):
-                same = int(np.searchsorted(near, s + last, "right"))
-                w = (i, lo + s - step + 1, lo + 2 * step + s + self.window + step - 1, s)
-                out[w] = max(out.get(w, 0), same)
-        return sorted((*w, n) for w, n in out.items())
+            p = place[np.searchsorted(key, k):np.searchsorted(key, k, "right")]
+            starts = np.arange(max(0, int(p[0]) - last), min(int(p[-1]), int(self.chars[i]) - self.window) + 1)
+            same = np.searchsorted(p, starts + last, "right") - np.searchsorted(p, starts)
+            out += [(i, lo + t - step + 1, lo + 2 * step + t + self.window + step - 1, t, c)
+                    for t, c in zip(starts.tolist(), same.tolist()) if c >= least]
+        return sorted(out)
+
+    def alignable(self, candidates: list[tuple[np.ndarray, list]]) -> list[list]:
+        """The candidate windows of each text that have a place within the budget anywhere in their region.
+
+        Bit-parallel edit distance (a window's row of cost differences is one
+        machine word) over the windows of all texts at once; which places stay
+        is for the alignment to say.
+        """
+        every = [(k, w) for k, (_, found) in enumerate(candidates) for w in found]
+        if not every or self.window > 64:
+            return [found for _, found in candidates]
+        out: list[list] = [[] for _ in candidates]
+        size = max(b - a for _, (_, a, b, _, _) in every)
+        for at in range(0, len(every), ALIGN_ROWS):
+            part = every[at:at + ALIGN_ROWS]
+            held = np.stack([self.points[i][s:s + self.window] for _, (i, _, _, s, _) in part])
+            region = np.full((len(part), size), 0xFFFFFFFF, np.uint32)      # no character of any window
+            for row, (k, (_, a, b, _, _)) in zip(region, part):
+                text = candidates[k][0][max(0, a):max(0, b)]
+                row[:len(text)] = text
+            bits = np.uint64(1) << np.arange(self.window, dtype=np.uint64)
+            top, one = np.uint64(self.window - 1), np.uint64(1)
+            up, down = np.full(len(part), (1 << self.window) - 1, np.uint64), np.zeros(len(part), np.uint64)
+            cost = np.full(len(part), self.window, np.int64)
+            least = cost.copy()
+            for j in range(size):
+                same = ((held == region[:, j, None]) * bits).sum(axis=1, dtype=np.uint64)
+                across = (((same & up) + up) ^ up) | same
+                more, less = down | ~(across | up), up & across
+                cost += ((more >> top) & one).astype(np.int64) - ((less >> top) & one).astype(np.int64)
+                np.minimum(least, cost, out=least)
+                more, less, same = more << one, less << one, same | down
+                up, down = less | ~(same | more), more & same
+            for (k, w), d in zip(part, least.tolist()):
+                if d <= self.window_budget:
+                    out[k].append(w)
+        return out
 
     def find(self, text: str | None) -> list[tuple]:
         """(item_id, start, length, edits, item_chars, shared, window_start, window_chars) in the plain text.
@@ -171,13 +227,32 @@ class Index:
         Overlapping finds of an item keep the best; a passage that overlaps a
         find of its whole item or an earlier passage of it is no further find.
         """
-        text = plain(text)
-        c = code_points(text)
+        return self.find_all([text])[0]
+
+    def find_all(self, texts: list[str | None]) -> list[list[tuple]]:
+        """``find`` of every text; candidate passages of all texts are tried together."""
+        texts = [plain(t) for t in texts]
+        whole, candidates = [], []
+        for text in texts:
+            c = code_points(text)
+            hits = self.shared(c)
+            found = self.whole_items(text, len(c), hits)
+            whole.append(found)
+            candidates.append((c, self.windows(*self.beside(found, *hits)) if self.window is not None else []))
+        out = []
+        for text, found, (c, _), tried in zip(texts, whole, candidates, self.alignable(candidates)):
+            rows = [(self.ids[i], s, e - s, d, int(self.chars[i]), n, 0, int(self.chars[i]))
+                    for i, kept in found.items() for d, s, e, n in kept]
+            rows += self.passages(text, len(c), found, tried)
+            out.append(sorted(rows, key=lambda r: (r[1], r[0])))
+        return out
+
+    def whole_items(self, text: str, n: int, hits: tuple) -> dict[int, list]:
+        """item -> (edits, start, end, shared) of its places, overlapping ones resolved."""
         found: dict[int, list] = {}
-        hits = self.shared(c)
         for i, lo, hi, shared in self.regions(*hits):
             budget, m = int(self.budget[i]), int(self.chars[i])
-            a, b = max(0, lo - budget), min(len(c), hi + m + budget + 1)
+            a, b = max(0, lo - budget), min(n, hi + m + budget + 1)
             got = banded(self.texts[i], text[a:b], budget)
             if got is not None:
                 edits, start, end = got
@@ -187,25 +262,30 @@ class Index:
             while at >= 0:
                 found.setdefault(k, []).append((0, at, at + int(self.chars[k]), 0))
                 at = text.find(self.texts[k], at + 1)
-        out = []
         for i, places in found.items():
             kept: list = []
             for edits, start, end, shared in sorted(places):
                 if all(end <= s or start >= e for _, s, e, _ in kept):
                     kept.append((edits, start, end, shared))
             found[i] = kept
-            out += [(self.ids[i], s, e - s, d, int(self.chars[i]), n, 0, int(self.chars[i])) for d, s, e, n in kept]
-        if self.window is None:
-            return sorted(out, key=lambda r: (r[1], r[0]))
-        item, place, pos = hits
+        return found
+
+    @staticmethod
+    def beside(found: dict[int, list], item: np.ndarray, place: np.ndarray, pos: np.ndarray) -> tuple:
+        """The shared q-grams beside an item's finds: passages lie there, and so do their q-grams."""
         for i, kept in found.items():
-            for _, x, y, _ in kept:           # passages lie beside these finds, and so do their q-grams
+            for _, x, y, _ in kept:
                 ok = (item != i) | (pos + Q <= x) | (pos >= y)
                 item, place, pos = item[ok], place[ok], pos[ok]
-        for i, a, b, s, shared in self.windows(item, place, pos):
+        return item, place, pos
+
+    def passages(self, text: str, n: int, found: dict[int, list], tried: list) -> list[tuple]:
+        """Rows of the passages among the windows tried, beside the finds so far."""
+        out = []
+        for i, a, b, s, shared in tried:
             kept = found.setdefault(i, [])
             free = [max(0, a), *(x for _, *place, _ in sorted(kept, key=lambda f: f[1]) for x in place
-                                 if place[1] > a and place[0] < b), min(len(c), b)]
+                                 if place[1] > a and place[0] < b), min(n, b)]
             for lo, hi in zip(free[::2], free[1::2]):
                 if hi - lo < self.window - self.window_budget:
                     continue
@@ -214,7 +294,7 @@ class Index:
                     edits, start, end = got
                     kept.append((edits, lo + start, lo + end, shared))
                     out.append((self.ids[i], lo + start, end - start, edits, int(self.chars[i]), shared, s, self.window))
-        return sorted(out, key=lambda r: (r[1], r[0]))
+        return out
 
 
 def banded(item: str, region: str, budget: int) -> tuple[int, int, int] | None:
@@ -272,15 +352,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k)
         held = spark.sparkContext.broadcast([tuple(r) for r in block.orderBy("item_id", "text").collect()])
 
-        def run(batches, held=held):
-            index = Index(held.value, window)
+        def run(batches, held=held, name=uuid.uuid4().hex):
+            known = worker_state().__dict__.setdefault("qgram_indexes", {})   # one index a worker, not one a task
+            if name not in known:
+                known.clear()
+                known[name] = Index(held.value, window)
+            index = known[name]
             for b in batches:
-                found = [(d, *r) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
-                         for r in index.find(t)]
-                if found:
-                    cols = list(zip(*found))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.int32()] * 5)], names=_NAMES)
+                ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+                ends = np.cumsum([len(t) for t in texts]) // TEXT_CHARS
+                for lo, hi in pairwise([*np.flatnonzero(np.diff(ends, prepend=-1)), len(ids)]):
+                    found = [(d, *r) for d, rows in zip(ids[lo:hi], index.find_all(texts[lo:hi])) for r in rows]
+                    if found:
+                        cols = list(zip(*found))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.int32()] * 5)], names=_NAMES)
         part = rows.mapInArrow(run, _SCHEMA)
         out = part if out is None else out.unionAll(part)
     return out
