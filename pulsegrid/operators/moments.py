@@ -41,7 +41,8 @@ def feature_matrix(batch: pa.RecordBatch, features, dtype=np.float64) -> np.ndar
         width = offs[1] - offs[0]
         if len(flat) != n * width or not np.all(np.diff(offs) == width):
             raise ValueError(f"feature arrays in {features} differ in length")
-        return flat.reshape(n, width)
+        matrix = flat.reshape(n, width)
+        return matrix if not hasattr(features, "positions") else matrix[:, features.positions]
     cols = [batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in features]
     return np.column_stack([np.asarray(c, dtype=dtype) for c in cols]) if cols else np.zeros((batch.num_rows, 0))
 
@@ -82,6 +83,14 @@ def _to_batch(rows):
         "v": pa.array([np.asarray(v, dtype=np.float64) for v in rows["v"]], pa.list_(pa.float64()))})
 
 
+def constant_to_rounding(n, mean, mean_square, var):
+    """True where a variance is no more than the rounding of the sums it came from.
+
+    ``mean`` and ``mean_square`` are of the values about the shift that was used."""
+    eps = np.finfo(float).eps
+    return var <= eps * np.maximum(mean_square, 0.0) + (n * mean * eps) ** 2
+
+
 DIRECT_LIMIT = 1 << 23   # partial doubles (64 MiB) that may go straight to the driver
 
 

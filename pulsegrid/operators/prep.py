@@ -19,7 +19,7 @@ from pyspark.ml import Estimator, Model, Transformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.operators.moments import moment_sums, total
+from pulsegrid.operators.moments import constant_to_rounding, moment_sums, total
 
 
 def _lit_array(v) -> Column:
@@ -79,8 +79,8 @@ class PopulationScaler(Estimator, _ArrayStage):
     def _fit(self, df):
         m = total(moment_sums(df.select(self.inputCol), self.inputCol, None, second_order="diag"))
         mean = m.mean()
-        std = np.sqrt(np.maximum(m.var(), 0.0))
-        std = np.where(std == 0, 1.0, std)
+        var = np.maximum(m.var(), 0.0)
+        std = np.where(constant_to_rounding(m.n, m.s / m.n, m.diag / m.n, var), 1.0, np.sqrt(var))
         return PopulationScalerModel(self.inputCol, self.outputCol, mean, std)
 
 
@@ -223,19 +223,21 @@ class MedianImputerModel(Model, _ArrayStage):
 
 
 # ---------------------------------------------------------------- T4 / T5 / T6 selection
+def f_from_sums(n, sx, sxx, sxy, sy, syy) -> np.ndarray:
+    """F statistics r^2/(1-r^2)(n-2) from sums about any shift (NaN for constant columns)."""
+    var = np.maximum(sxx / n - (sx / n) ** 2, 0.0)
+    flat = constant_to_rounding(n, sx / n, sxx / n, var) | (var <= 1e-12 * sxx / n)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        r = (sxy - sx * sy / n) / np.sqrt(var * n * (syy - sy * sy / n))
+        r = np.where(flat, np.nan, r)
+        return r * r / (1 - r * r) * (n - 2)
+
+
 def f_scores(df: DataFrame, col: str, label: str) -> tuple[np.ndarray, float]:
-    """Univariate F statistics r^2/(1-r^2)(n-2) from one moments pass (NaN for constant columns)."""
+    """Univariate F statistics from one moments pass (NaN for constant columns)."""
     m = total(moment_sums(df.select(col, label), col, label, second_order="diag_y"))
-    n = m.n
     p = m.p
-    sxy = m.cross_y[:p] - m.s[:p] * m.s[p] / n
-    sxx = m.diag[:p] - m.s[:p] ** 2 / n
-    syy = m.diag[p] - m.s[p] ** 2 / n
-    with np.errstate(invalid="ignore", divide="ignore"):
-        r = sxy / np.sqrt(sxx * syy)
-        r = np.where(sxx <= 1e-12 * np.maximum(m.diag[:p], 1e-300), np.nan, r)
-        f = r * r / (1 - r * r) * (n - 2)
-    return f, n
+    return f_from_sums(m.n, m.s[:p], m.diag[:p], m.cross_y[:p], m.s[p], m.diag[p]), m.n
 
 
 def top_k_indices(scores: np.ndarray, k: int) -> np.ndarray:

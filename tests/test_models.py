@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import MEDIUM
+from conftest import MEDIUM, SMALL
 
 
 @pytest.fixture(scope="module")
@@ -69,7 +69,7 @@ def test_robust_objective_beats_probes(spark):
     pdf = d.select("features", "y").toPandas()
     X, y = np.vstack(pdf.features.values), pdf.y.values
     grid = [GridPoint(0.0), GridPoint(0.01, 0.5, 5.0)]
-    for method in ("mm", "fista"):
+    for method in ("mm", "wide"):
         _, models = fit_robust_grid(d, "features", "y", grid, method=method)
         for i, gp in enumerate(grid):
             m = models[(i, ALL_ROWS)]
@@ -114,6 +114,68 @@ def test_robust_solver_reaches_the_minimum(spark):
             assert start <= best * (1 + 1e-4), (p, k, start, best)
 
 
+def test_wide_robust_fits_are_certified(spark):
+    """Collinear, constant and more columns than a narrow fit takes: the gap bounds what the narrow
+    solver can still gain, folds train on their own rows, and a fit that is cut short raises."""
+    from pulsegrid.operators import robust as R
+    rng = np.random.default_rng(3)
+    n, p = 600, 40
+    X = rng.normal(size=(n, 8)) @ rng.normal(size=(8, p)) + 0.05 * rng.normal(size=(n, p))
+    X[:, 0], X[:, 1] = 1.0, X[:, 2]
+    X = X.astype("f4").astype(float)
+    y = X[:, 3] * 2 + rng.standard_t(2, size=n) * 3 + 70
+    rows = [(X[i].tolist(), float(y[i]), None if i % 4 == 3 else i % 4) for i in range(n)]
+    df = spark.createDataFrame(rows, "f array<double>, y double, fold int").repartition(3).persist()
+    grid = [R.GridPoint(1e-3), R.GridPoint(0.0), R.GridPoint(1e-2, 0.5, 2.0), R.GridPoint(0.1, 1.0, 1.0)]
+    scores, wide = R.fit_robust_grid(df, "f", "y", grid, "fold", 3, method="wide")
+    fold = np.array([-1 if r[2] is None else r[2] for r in rows])
+    for (pos, f), m in wide.items():
+        assert m.meta["gap"] <= R.GAP
+        keep = fold != f if f != R.ALL_ROWS else np.ones(n, bool)
+        gp, r = grid[pos], y[keep] - m.intercept - X[keep] @ m.coef
+        value = np.maximum(np.abs(r) - gp.epsilon, 0).mean() + gp.alpha * (
+            gp.l1_ratio * np.abs(m.coef).sum() + (1 - gp.l1_ratio) / 2 * (m.coef ** 2).sum())
+        assert m.meta["objective"] == pytest.approx(value, rel=1e-6) and m.meta["train_rows"] == keep.sum()
+    for pos, f, mae in scores:
+        hold = fold == f
+        m = wide[(pos, f)]
+        assert mae == pytest.approx(np.abs(y[hold] - m.intercept - X[hold] @ m.coef).mean(), rel=1e-6)
+    _, narrow = R.fit_robust_grid(df, "f", "y", [grid[0], grid[2]], method="mm")
+    for k, pos in enumerate((0, 2)):
+        m, best = wide[(pos, R.ALL_ROWS)], narrow[(k, R.ALL_ROWS)].meta["objective"]
+        assert best - 1e-9 <= m.meta["objective"] * (1 + 1e-9)
+        assert m.meta["objective"] - best <= m.meta["gap"] * y.std() + 1e-6     # the gap is an upper bound
+    few = R._fit_wide
+    try:
+        R._fit_wide = lambda *a, **k: few(*a, **{**k, "max_passes": 8})
+        with pytest.raises(RuntimeError, match="duality gap above"):
+            R.fit_robust_grid(df, "f", "y", [R.GridPoint(0.0)], method="wide", gap=1e-9)
+    finally:
+        R._fit_wide = few
+
+
+def test_screened_lasso_equals_the_full_solve(spark, monkeypatch):
+    """More columns than the Gramian takes at once, more than rows too: same solution as on all columns,
+    with a certified gap; a tiny step forces several rounds."""
+    from pulsegrid.operators import linear as L
+    rng = np.random.default_rng(11)
+    n, p = 180, 400
+    X = rng.normal(size=(n, 30)) @ rng.normal(size=(30, p)) + 0.3 * rng.normal(size=(n, p))
+    X[:, 7], X[:, 9] = 2.5, X[:, 8]
+    y = X[:, :6].sum(1) + rng.normal(size=n) + 12
+    df = spark.createDataFrame([(X[i].tolist(), float(y[i])) for i in range(n)], "f array<double>, y double").repartition(3)
+    monkeypatch.setattr(L, "SCREEN_STEP", 40)
+    for alpha, l1 in ((0.05, 1.0), (0.01, 0.5)):
+        m = L.fit_lasso(df, "f", "y", alpha, l1, tol=1e-9)
+        assert 0 <= m.meta["gap"] + 1e-12 and m.meta["gap"] <= 1e-9 and m.coef[7] == 0.0
+        Xc, yc = X - X.mean(0), y - y.mean()
+        full = L.lasso_cd(Xc.T @ Xc, Xc.T @ yc, n, alpha, l1, tol=1e-12)
+        obj = lambda w: ((yc - Xc @ w) ** 2).sum() / (2 * n) + alpha * (
+            l1 * np.abs(w).sum() + (1 - l1) / 2 * (w ** 2).sum())
+        assert obj(m.coef) == pytest.approx(obj(full), rel=1e-8)
+        np.testing.assert_allclose(Xc @ m.coef, Xc @ full, atol=1e-3)
+
+
 def test_exact_median_matches_numpy(spark):
     from pulsegrid.operators.prep import column_medians
     from pulsegrid.sources.tables import ev_windows
@@ -177,28 +239,46 @@ def mi_brute(X, y):
     return np.array([mi_of(X[:, j] / (X[:, j].std() or 1.0), ys) for j in range(X.shape[1])])
 
 
-def test_mutual_info_of_tied_columns(spark):
-    """Constant, mostly zero, few-valued and continuous columns, discrete label too:
-    the same jittered points over all pairs give the same scores, whatever the block size."""
+@pytest.mark.parametrize("bounds", [{}, {"group": 500}, {"group": 0, "cell": 16, "queries": 8}])
+def test_mutual_info_of_tied_columns(spark, bounds):
+    """Constant, mostly zero, few-valued, heavy-tailed and continuous columns, heavy-tailed and discrete
+    labels too: the same jittered points over all pairs give the same scores, whatever the groups."""
     from pulsegrid.operators.mutual_info import mi_scores
     rng = np.random.default_rng(4)
     n = 400
-    y = rng.normal(size=n)
-    for label in (y, np.round(y)):
+    y = rng.standard_cauchy(n)
+    for label in (y, np.round(np.clip(y, -9, 9))):
         X = np.column_stack([np.ones(n), np.where(rng.random(n) < 0.7, 0.0, y + rng.normal(size=n)),
-                             np.round(2 * y), y + rng.normal(size=n)])
+                             np.round(2 * np.tanh(y)), rng.standard_cauchy(n), y + rng.normal(size=n)])
         df = spark.createDataFrame([(X[i].tolist(), float(label[i])) for i in range(n)], "f array<double>, lab double")
-        seen = []
-        got = mi_scores(df, "f", "lab", block=16, _debug=seen)
-        points = seen[0]
-        assert len(points) == 4 * n
-        want = [mi_of(g["x"].to_numpy(), g["y"].to_numpy()) for _, g in points.groupby("j")]
-        np.testing.assert_allclose(got, want, rtol=1e-9, atol=1e-9)
+        seen, sizes = [], []
+        got = mi_scores(df, "f", "lab", points=seen, sizes=sizes, **bounds)
+        px, py = seen[0]
+        np.testing.assert_allclose(got, [mi_of(x, py) for x in px.T], rtol=1e-9, atol=1e-9)
+        if bounds.get("group") == 0:
+            assert sizes[0] <= 2 * 16 + 2
+
+
+def test_mutual_info_groups_stay_bounded(spark):
+    """Independent heavy-tailed points: cells keep their size as n grows, and a cell is asked by
+    a share of the points that shrinks (the rim), not by all of them."""
+    from pulsegrid.operators.mutual_info import mi_scores
+    share = []
+    for n in (2000, 18000):
+        rng = np.random.default_rng(n)
+        df = spark.createDataFrame([([float(a)], float(b)) for a, b in
+                                    zip(rng.standard_cauchy(n), rng.standard_cauchy(n))], "f array<double>, lab double")
+        sizes, seen = [], []
+        got = mi_scores(df, "f", "lab", group=0, cell=64, queries=256, sizes=sizes, points=seen)
+        assert sizes[0] <= 2 * 64 + 2
+        share.append(sizes[1] / n)
+        np.testing.assert_allclose(got, mi_scores(df, "f", "lab"), rtol=1e-9, atol=1e-9)
+    assert share[1] < share[0]
 
 
 def test_mutual_info_matches_brute_force(spark):
-    """Distributed k-NN MI (tiny blocks, so unresolved points take the growing
-    window) equals the O(n^2) estimator on tie-free window statistics."""
+    """k-NN MI in one group and over small cells equals the O(n^2) estimator on
+    tie-free window statistics."""
     from pulsegrid.functions import arrays as A
     from pulsegrid.operators.mutual_info import mi_scores
     from pulsegrid.sources.tables import ev_windows
@@ -210,8 +290,24 @@ def test_mutual_info_matches_brute_force(spark):
     for j in range(X.shape[1]):
         assert len(np.unique(X[:, j])) == len(y)      # no ties: jitter cannot change a count
     assert len(np.unique(y)) == len(y)
-    got = mi_scores(w, "f", "lab", block=8)
-    np.testing.assert_allclose(got, mi_brute(X, y), rtol=1e-9, atol=1e-12)
+    # the means lie on a lattice, so distances tie: without jitter both sides see the same ties ...
+    for bounds in ({}, {"group": 0, "cell": 8, "queries": 16}):
+        np.testing.assert_allclose(mi_scores(w, "f", "lab", jitter=0.0, **bounds), mi_brute(X, y), rtol=1e-9, atol=1e-12)
+    # ... and with it the jittered points decide
+    seen = []
+    got = mi_scores(w, "f", "lab", points=seen)
+    np.testing.assert_allclose(got, [mi_of(x, seen[0][1]) for x in seen[0][0].T], rtol=1e-9, atol=1e-12)
+    np.testing.assert_allclose(got, mi_brute(X, y), rtol=1e-3)
+
+
+def test_mutual_info_edges(spark):
+    from pulsegrid.operators.mutual_info import mi_scores
+    schema = "f array<double>, lab double"
+    assert len(mi_scores(spark.createDataFrame([], schema), "f", "lab")) == 0
+    for n in (1, 2, 3):
+        df = spark.createDataFrame([([float(i), 1.0], float(i * i)) for i in range(n)], schema)
+        for bounds in ({}, {"group": 0, "cell": 4}):
+            assert np.isfinite(mi_scores(df, "f", "lab", **bounds)).all()
 
 
 def test_protocol_chains_side_by_side_equal_one_alone(spark):
@@ -253,6 +349,70 @@ def test_protocol_chains_side_by_side_equal_one_alone(spark):
     assert st["extra"]["best"] == int(np.argmin(means))
 
 
+def test_d1_chains_equal_separate_fits(spark):
+    """Protocol d1: chains of all folds fitted in shared scans select and scale as each one does alone."""
+    from pulsegrid.operators import folds as FO
+    from pulsegrid.operators.fold_chains import chain_columns, fit_chains
+    rng = np.random.default_rng(2)
+    n, p = 240, 9
+    X = rng.normal(size=(n, p)) * rng.uniform(1, 50, p) + 3
+    X[:, 4], X[:, 5] = 7.0, np.round(X[:, 5] / 20)
+    y = X[:, 0] + 0.2 * X[:, 1] * X[:, 2] + rng.normal(size=n)
+    X[rng.random((n, p)) < 0.05] = np.nan
+    rows = [(i, X[i].tolist(), float(y[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, f array<double>, y double").withColumn("fold", FO.fold_expr("k", 3, 1)).persist()
+    chains = fit_chains(df, [0, 1, 2, None], "f", "y", "fold", "k", p, "mi", False, 4, 6)
+    fold = {r.k: r.fold for r in df.select("k", "fold").collect()}
+    fold = np.array([fold[i] for i in range(n)])
+    for c in chains:
+        keep = np.ones(n, bool) if c.fold is None else fold != c.fold
+        med = np.nanmedian(X[keep], axis=0)
+        np.testing.assert_allclose(c.medians, med)
+        Z = np.where(np.isnan(X[keep]), med, X[keep])
+        std = Z.std(0)
+        np.testing.assert_allclose(c.mean, Z.mean(0), rtol=1e-12)
+        assert c.std[4] == 1.0
+        np.testing.assert_allclose(np.delete(c.std, 4), np.delete(std, 4), rtol=1e-12)
+        alone = fit_chains(df.filter((F.col("fold") != (-1 if c.fold is None else c.fold))), [None], "f", "y", "fold", "k",
+                           p, "mi", False, 4, 6)[0]
+        np.testing.assert_array_equal(c.base, alone.base)
+        np.testing.assert_array_equal(c.final, alone.final)
+        np.testing.assert_allclose(c.scores1, alone.scores1, rtol=1e-9, atol=1e-9)
+        np.testing.assert_allclose(c.scores2, alone.scores2, rtol=1e-9, atol=1e-9)
+        assert {0} <= set(c.base.tolist())
+        stages, names, out = c.stages("f", [f"x{i}" for i in range(p)], "t")
+        replay = df
+        for _, st in stages:
+            replay = st.transform(replay)
+        own = {r.k: r[out] for r in replay.select("k", out).collect()}
+        fast = {r.k: r.o for r in chain_columns(df, [c], "f", ["k"], ["o"]).collect()}
+        for k in own:
+            np.testing.assert_allclose(own[k], fast[k], rtol=1e-5, atol=1e-5)
+        assert len(names) == 6
+
+
+def test_d1_protocol_end_to_end(spark):
+    """E9 d1 on small windows: certified fits, 495 features, metrics recomputed from the state."""
+    from pulsegrid.operators.features import features_multirate
+    from pulsegrid.operators.robust import GAP
+    from pulsegrid.plans.protocols import evaluate, train_protocol, transform_protocol
+    from pulsegrid.sources.tables import li_multi
+    base = li_multi(spark, SMALL).filter(F.col("y").isNotNull())
+    feats = features_multirate(base, ["window_id", "y"]).persist()
+    st = train_protocol(feats, "d1")
+    assert len(st["coef"]) == len(st["feature_names"]) == 495 and st["extra"]["gap"] <= GAP
+    out = {r.window_id: np.asarray(r.features_out) for r in transform_protocol(feats, st).collect()}
+    lab = {r.window_id: r.y for r in feats.select("window_id", "y").collect()}
+    y = np.array([lab[k] for k in out])
+    r = y - st["intercept"] - np.array([out[k] @ np.asarray(st["coef"]) for k in out])
+    got = evaluate(transform_protocol(feats, st), feats.select("window_id", "y"), st)[0].first()
+    np.testing.assert_allclose([got.nmse, got.nmae, got.mae],
+                               [(r @ r) / ((y - y.mean()) ** 2).sum(), np.abs(r).sum() / np.abs(y - y.mean()).sum(),
+                                np.abs(r).mean()], rtol=1e-9)
+    means = [np.mean([m for p, _, m in st["scores"] if p == i]) for i in range(3)]
+    assert st["extra"]["best"] == int(np.argmin(means))
+
+
 def test_wearable_model_on_whole_windows(spark):
     """Part c on a short grid: every test window gets a finite prediction by the chosen
     model, and values that aren't finite fail."""
