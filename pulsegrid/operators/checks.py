@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 VIOLATION = "rule string, key string, detail string"
@@ -71,6 +71,34 @@ def check_finite(df: DataFrame, cols: Sequence[str], key) -> DataFrame:
     return out
 
 
+class ValueWatch:
+    """Counts the values of a column that aren't finite in the pass that uses the frame anyway.
+
+    ``on(df)`` is the frame with the counters attached; once an action has run
+    over it, ``violations(spark)`` has one row with the first key and the counts,
+    or none when all values were finite.  Without rows there is nothing to report.
+    """
+
+    def __init__(self, name: str, col: str, key):
+        self.name, self.col, self.key = name, col, key
+        self.seen = Observation(name)
+
+    def on(self, df: DataFrame) -> DataFrame:
+        values = F.col(self.col) if dict(df.dtypes)[self.col].startswith("array") else F.array(self.col)
+        values = values.cast("array<double>")
+        count = F.when(values.isNull(), 1).otherwise(F.size(F.filter(values, _nonfinite)))
+        keys = [self.key] if isinstance(self.key, str) else list(self.key)
+        return df.observe(self.seen, F.count_if(count > 0).alias("rows"), F.sum(count).alias("bad"),
+                          F.min(F.when(count > 0, F.struct(*keys))).alias("first"))
+
+    def violations(self, spark: SparkSession) -> DataFrame:
+        got = self.seen.get
+        if not got.get("rows"):
+            return spark.createDataFrame([], VIOLATION)
+        first = ":".join(str(v) for v in got["first"])
+        return spark.createDataFrame([(f"finite:{self.name}", first, f"{got['rows']} rows, {got['bad']} values")], VIOLATION)
+
+
 def check_rows(a: DataFrame, b: DataFrame, key) -> DataFrame:
     """V5: keys present on one side only (full outer join)."""
     k = [key] if isinstance(key, str) else list(key)

@@ -42,6 +42,32 @@ def range_fold_expr(index_col: str, ends: Sequence[int]) -> Column:
     return expr.otherwise(F.lit(None).cast("int")) if expr is not None else F.lit(None).cast("int")
 
 
+FEW_ENDS = 64       # up to here the ranges are constants of one expression
+RANGE_BLOCK = 256   # rows of an index block that share a lookup of their ranges
+
+
+def assign_ranges(df: DataFrame, ends: DataFrame, index_col: str, out: str = "fold") -> DataFrame:
+    """S5 / J2 for any number of ends (``pos, end``): fold ``pos`` holds the indexes from the end before
+    it up to its own end, as ``range_fold_expr`` has it; others get null.
+
+    The index is cut into blocks; each range goes to the blocks it meets, so
+    rows join by block and look through the few ranges of theirs.  Nothing is
+    collected, and no task holds more than a block's ranges.  The ends must not
+    fall, or it raises."""
+    before = ends.select((F.col("pos") + 1).alias("pos"), F.col("end").alias("_lo"))
+    ranges = ends.join(before, "pos", "left").select("pos", F.coalesce("_lo", F.lit(0)).cast("long").alias("_lo"),
+                                                     F.col("end").cast("long").alias("_hi"))
+    ranges = ranges.withColumn("_hi", F.when(F.col("_hi") >= F.col("_lo"), F.col("_hi")).otherwise(
+        F.raise_error(F.concat(F.lit("fold ends fall at position "), F.col("pos").cast("string"))).cast("long")))
+    block = lambda c: F.floor(c / RANGE_BLOCK).cast("long")
+    look = (ranges.filter("_hi > _lo")
+                  .select("pos", "_lo", "_hi", F.explode(F.sequence(block(F.col("_lo")), block(F.col("_hi") - 1))).alias("_blk"))
+                  .groupBy("_blk").agg(F.collect_list(F.struct("_lo", "_hi", "pos")).alias("_ranges")))
+    rows = df.withColumn("_blk", block(F.col(index_col))).join(look, "_blk", "left")
+    own = F.filter("_ranges", lambda r: (r["_lo"] <= F.col(index_col)) & (F.col(index_col) < r["_hi"]))
+    return rows.withColumn(out, F.try_element_at(own, F.lit(1))["pos"].cast("int")).drop("_blk", "_ranges")
+
+
 def train_rows(df: DataFrame, fold: str, k: int) -> DataFrame:
     """Training rows for fold k (other folds and rows in no fold)."""
     return df.filter((F.col(fold) != k) | F.col(fold).isNull())

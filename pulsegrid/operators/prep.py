@@ -16,6 +16,7 @@ import math
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,11 +27,56 @@ def _lit_array(v) -> Column:
     return F.array(*[F.lit(float(x)) for x in v])
 
 
-class _ArrayStage:
+class _StageWriter(MLWriter):
+    """Class, uid and the constructor's arguments of a stage in the metadata file."""
+
+    def __init__(self, stage):
+        super().__init__()
+        self.stage = stage
+
+    def saveImpl(self, path):
+        DefaultParamsWriter.saveMetadata(self.stage, path, self.sparkSession, extraMetadata={"arguments": self.stage.arguments()})
+
+
+class _StageReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path):
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        stage = self.cls(**{k: float("nan") if v == "nan" else v for k, v in meta["arguments"].items()})
+        return stage._resetUid(meta["uid"])
+
+
+def _plain(v):
+    if isinstance(v, np.ndarray):
+        return [_plain(x) for x in v.tolist()]
+    return "nan" if isinstance(v, float) and math.isnan(v) else v
+
+
+class _ArrayStage(MLWritable, MLReadable):
+    """Columns and persistence (T7): stages save and load inside a ``Pipeline`` or ``PipelineModel``."""
+
+    _arguments: tuple = ()
+
     def _init_cols(self, inputCol, outputCol):
         self.inputCol = inputCol
         self.outputCol = outputCol or inputCol
 
+    def arguments(self) -> dict:
+        return {a: _plain(getattr(self, a)) for a in ("inputCol", "outputCol", *self._arguments)}
+
+    def write(self):
+        bad = [a for a in self._arguments if callable(getattr(self, a))]
+        if bad:
+            raise ValueError(f"a stage with a function as its {bad[0]} can't be saved")
+        return _StageWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _StageReader(cls)
+
 
 # ---------------------------------------------------------------- T1
 def poly_names(names: Sequence[str], sep: str = "*") -> list[str]:
@@ -53,6 +99,8 @@ def poly_expr(x, p: int) -> Column:
 class PolynomialExpansion(Transformer, _ArrayStage):
     """Degree-2 expansion without bias, terms in (i <= j) order."""
 
+    _arguments = ("width", "names", "sep")
+
     def __init__(self, inputCol="features", outputCol=None, width=None, names=None, sep="*"):
         super().__init__()
         self._init_cols(inputCol, outputCol)
@@ -85,6 +133,8 @@ class PopulationScaler(Estimator, _ArrayStage):
 
 
 class PopulationScalerModel(Model, _ArrayStage):
+    _arguments = ("mean", "std")
+
     def __init__(self, inputCol, outputCol, mean, std):
         super().__init__()
         self._init_cols(inputCol, outputCol)
@@ -194,6 +244,8 @@ class MedianImputer(Estimator, _ArrayStage):
     A position with no observed value is filled with 0 and listed in
     ``model.missing`` (the reference would silently drop the column)."""
 
+    _arguments = ("width",)
+
     def __init__(self, inputCol="features", outputCol=None, width=None):
         super().__init__()
         self._init_cols(inputCol, outputCol)
@@ -207,6 +259,8 @@ class MedianImputer(Estimator, _ArrayStage):
 
 
 class MedianImputerModel(Model, _ArrayStage):
+    _arguments = ("medians", "missing")
+
     def __init__(self, inputCol, outputCol, medians, missing=()):
         super().__init__()
         self._init_cols(inputCol, outputCol)
@@ -261,6 +315,8 @@ class SelectKBest(Estimator, _ArrayStage):
     information, ``pulsegrid.operators.mutual_info``) or a callable
     (df, col, label) -> scores."""
 
+    _arguments = ("labelCol", "k", "score")
+
     def __init__(self, inputCol="features", outputCol=None, labelCol="y", k=10, score="f"):
         super().__init__()
         self._init_cols(inputCol, outputCol)
@@ -284,6 +340,8 @@ class SelectKBest(Estimator, _ArrayStage):
 
 
 class SelectedModel(Model, _ArrayStage):
+    _arguments = ("indices",)
+
     def __init__(self, inputCol, outputCol, indices, scores=None):
         super().__init__()
         self._init_cols(inputCol, outputCol)
@@ -304,6 +362,8 @@ class LassoSelector(Estimator, _ArrayStage):
     """Fit a lasso on at most ``sample`` rows (exact seeded sample), keep the
     ``k`` largest |coef| (ties: lower index), output in index order."""
 
+    _arguments = ("labelCol", "keyCol", "alpha", "k", "sample", "seed")
+
     def __init__(self, inputCol="features", outputCol=None, labelCol="y", keyCol="window_id",
                  alpha=0.001, k=500, sample=100_000, seed=42):
         super().__init__()

@@ -146,6 +146,20 @@ def q_folds_file(spark, sf_dir):
     return f.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("folds_many_ranges", """WITH r AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS idx FROM events)
+SELECT event_id, CASE WHEN idx < (SELECT max(e) FROM (SELECT 3 * (idx // 3) + 3 AS e FROM r WHERE 3 * (idx // 3) + 3 <= (SELECT count(*) FROM r)) t)
+                      THEN idx // 3 END AS fold FROM r""")
+def q_folds_many(spark, sf_dir):
+    """S5 form 1 + J2 with an end every three rows: as many ranges as a third of the table has rows."""
+    path = _scratch(spark, "folds3")
+    ev = with_row_index(table(spark, sf_dir, "events").select("event_id"), ["event_id"])
+    ends = ev.filter((F.col("row_index") + 1) % 3 == 0).select((F.col("row_index") + 1).alias("e"))
+    (ends.agg(F.array_sort(F.collect_list("e")).alias("l"))            # the format keeps all ends on one line
+         .select(F.concat(F.lit("["), F.array_join(F.col("l").cast("array<string>"), ", "), F.lit("]")).alias("value"))
+         .coalesce(1).write.text(path))
+    return IO.read_folds(spark, path, ev).select("event_id", "fold")
+
+
 @register("folds_file_ids", f"""SELECT event_id, ({_hash_sql('event_id')} % 5)::BIGINT AS fold FROM events""")
 def q_folds_ids(spark, sf_dir):
     """S5 form 2: one fold id per row (comma and blank separated lines), matched on the row index."""
@@ -197,6 +211,28 @@ def q_check_finite(spark, sf_dir):
     return C.check_finite(ev_windows(spark, sf_dir), ["x_nan"], "window_id")
 
 
+@register("check_values", """WITH b AS (SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_discount = 0),
+n AS (SELECT min((l_orderkey, l_linenumber)) AS f, count(*) AS c FROM b)
+SELECT unnest(['finite:poly', 'finite:prediction']) AS rule, f[1]::VARCHAR || ':' || f[2]::VARCHAR AS key,
+       unnest([c || ' rows, ' || 4 * c || ' values', c || ' rows, ' || c || ' values']) AS detail FROM n WHERE c > 0""")
+def q_check_values(spark, sf_dir):
+    """Infinite ratios (price by discount) in the degree-2 table and in predictions from it, counted
+    while both are written; four of nine terms hold the ratio."""
+    from pulsegrid.operators.prep import PolynomialExpansion
+    keys = ["l_orderkey", "l_linenumber"]
+    li = table(spark, sf_dir, "lineitem").select(*keys, F.array(
+        F.col("l_quantity").cast("double"),
+        F.when(F.col("l_discount") == 0, float("inf")).otherwise(F.try_divide(F.lit(1.0), F.col("l_discount").cast("double"))),
+        F.col("l_tax").cast("double") + 1.0).alias("x"))
+    poly = PolynomialExpansion("x", "poly", width=3).transform(li)
+    watches = [C.ValueWatch("poly", "poly", keys), C.ValueWatch("prediction", "p", keys)]
+    path = _scratch(spark, "watched")
+    watches[0].on(poly.select(*keys, "poly")).write.parquet(path)
+    pred = spark.read.parquet(path).select(*keys, F.aggregate("poly", F.lit(0.0), lambda a, v: a + v).alias("p"))
+    watches[1].on(pred).write.parquet(_scratch(spark, "watched-p"))
+    return watches[0].violations(spark).unionByName(watches[1].violations(spark))
+
+
 @register("check_rows", EV.replace("ev AS (SELECT user_id * 4294967296 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),",
                                    "ev AS (SELECT user_id * 4294967296 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),\n"
                                    "nxt AS (SELECT user_id * 4294967296 + blk - 1 AS window_id, v AS y FROM c WHERE i = 0 AND blk > 0),")

@@ -81,6 +81,35 @@ def q_impute_apply(spark, sf_dir):
     return m.transform(w).select("window_id", F.posexplode("xi").alias("pos", "value"))
 
 
+_REPLAY_SQL = EV + """, med AS (SELECT i, median(vn) FILTER (WHERE NOT isnan(vn)) AS md FROM ev GROUP BY i),
+im AS (SELECT window_id, i, CASE WHEN isnan(vn) THEN md ELSE vn END AS v FROM ev JOIN med USING (i)),
+sc AS (SELECT i, avg(v) AS m, stddev_pop(v) AS s FROM im GROUP BY i),
+z AS (SELECT window_id, max(CASE WHEN i = 0 THEN (v - m) / s END) AS z0, max(CASE WHEN i = 3 THEN (v - m) / s END) AS z3
+      FROM im JOIN sc USING (i) GROUP BY window_id)
+"""
+
+
+@register("pipeline_replay", _REPLAY_SQL + f"""SELECT window_id, {R('z0')} AS z0, {R('z3')} AS z3, {R('z0 * z0')} AS z00,
+  {R('z0 * z3')} AS z03, {R('z3 * z3')} AS z33 FROM z""")
+def q_pipeline_replay(spark, sf_dir):
+    """Impute -> scale -> keep positions 0 and 3 -> degree 2 as a ``PipelineModel``, saved, loaded and replayed."""
+    import uuid
+
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from pulsegrid.operators.prep import SelectedModel
+    from pulsegrid.session import scratch_path
+    w = ev_windows(spark, sf_dir)
+    fitted = Pipeline(stages=[MedianImputer("x_nan", "xi", width=16), PopulationScaler("xi", "z"),
+                              SelectedModel("z", "kept", [0, 3]),
+                              PolynomialExpansion("kept", "poly", width=2, names=["z0", "z3"])]).fit(w)
+    path = scratch_path(spark, f"pipeline-{uuid.uuid4().hex}")
+    fitted.write().save(path)
+    names = ["z0", "z3", "z00", "z03", "z33"]
+    out = PipelineModel.load(path).transform(w)
+    return out.select("window_id", *[F.col("poly")[i].alias(n) for i, n in enumerate(names)])
+
+
 _F_SQL = EV.replace("ev AS (SELECT user_id * 4294967296 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),",
                     "ev AS (SELECT user_id * 4294967296 + blk AS window_id, i, v, vn FROM c WHERE cnt = 16),\n"
                     "nxt AS (SELECT user_id * 4294967296 + blk - 1 AS window_id, v AS y FROM c WHERE i = 0 AND blk > 0),") + \

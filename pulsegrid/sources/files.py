@@ -151,14 +151,16 @@ def read_folds(spark: SparkSession, path: str, indexed: DataFrame, index_col: st
     Form 1, ``[e1, e2, ...]``: cumulative ends; fold f = [e(f-1), e(f)); rows
     past the last end get null (they always train).  Form 2: one fold id per
     row (comma or blank separated), matched on the row index."""
-    from pulsegrid.operators.folds import range_fold_expr
-    txt = spark.read.text(path)
-    brk = txt.filter(F.col("value").contains("[")).limit(1).collect()
-    if brk:
-        body = brk[0][0]
-        inner = body[body.index("[") + 1:body.index("]")]
-        ends = [int(v.strip()) for v in inner.split(",") if v.strip()]
-        return indexed.withColumn(out, range_fold_expr(index_col, ends))
+    from pulsegrid.operators.folds import FEW_ENDS, assign_ranges, range_fold_expr
+    brk = spark.read.text(path).filter(F.col("value").contains("[")).limit(1)
+    text = F.regexp_extract("value", r"\[([^\]]*)\]", 1)
+    ends = (brk.select(F.posexplode(F.filter(F.transform(F.split(text, ","), lambda v: F.trim(v)), lambda v: v != "")).alias("pos", "v"))
+               .select("pos", F.col("v").cast("long").alias("end")))
+    if not brk.isEmpty():
+        few = ends.limit(FEW_ENDS + 1).collect()
+        if len(few) <= FEW_ENDS:      # the same folds without a join
+            return indexed.withColumn(out, range_fold_expr(index_col, [r["end"] for r in sorted(few)]))
+        return assign_ranges(indexed, ends, index_col, out)
     lines = _lines(spark, path)
     toks = (lines.select("line", F.posexplode(F.split(F.trim(F.regexp_replace("value", ",", " ")), r"\s+"))
                          .alias("tpos", "tok")).filter(F.col("tok") != ""))

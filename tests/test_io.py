@@ -160,3 +160,67 @@ def test_window_keys_of_long_subjects_are_unique(spark):
     rows = spark.range(2 * 4800).selectExpr("id % 2 AS subject", "id AS t", "cast(id AS double) AS v")
     w = cut_windows(rows, "subject", ["t"], ["v"], 4)
     assert w.count() == 2400 and w.select("window_id").distinct().count() == 2400
+
+
+def test_many_fold_ends_and_edges(spark):
+    """More ends than one expression holds: the same folds as the expression gives, empty ranges and the
+    rows past the last end included; falling ends raise."""
+    from pulsegrid.operators.folds import assign_ranges, range_fold_expr
+    rng = np.random.default_rng(0)
+    df = spark.range(3000).withColumnRenamed("id", "row_index")
+    for ends in (sorted(rng.integers(0, 2900, 400).tolist()), [0, 0, 5, 5, 2900], list(range(1, 2001)), []):
+        table = spark.createDataFrame(list(enumerate(ends)), "pos long, end long")
+        got = {r.row_index: r.fold for r in assign_ranges(df, table, "row_index").collect()}
+        few = ends[:60]
+        if len(ends) <= 60:
+            want = {r.row_index: r.fold for r in df.withColumn("fold", range_fold_expr("row_index", few)).collect()}
+        else:
+            want = {i: int(np.searchsorted(ends, i, "right")) if i < ends[-1] else None for i in range(3000)}
+        assert got == want
+    with pytest.raises(Exception, match="fold ends fall"):
+        assign_ranges(df, spark.createDataFrame([(0, 9), (1, 4)], "pos long, end long"), "row_index").collect()
+
+
+def test_stages_save_and_load(spark):
+    """Unfitted and fitted stages keep their values; a function as score can't be saved."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from pulsegrid.operators.prep import (LassoSelector, MedianImputer, PolynomialExpansion, PopulationScaler,
+                                          SelectKBest)
+    from pulsegrid.session import scratch_path
+    rng = np.random.default_rng(1)
+    X = rng.normal(size=(80, 6))
+    X[3, 2] = np.nan
+    df = spark.createDataFrame([(i, X[i].tolist(), float(X[i, 0] - X[i, 4])) for i in range(80)],
+                               "window_id long, f array<double>, y double")
+    stages = [MedianImputer("f", "a", width=6), PopulationScaler("a", "b"), SelectKBest("b", "c", "y", k=3),
+              PolynomialExpansion("c", "d", width=3, names=list("pqr")),
+              LassoSelector("d", "e", "y", "window_id", alpha=0.01, k=4)]
+    path = scratch_path(spark, "stages-" + uuid.uuid4().hex)
+    Pipeline(stages=stages).write().save(path + "-plan")
+    plan = Pipeline.load(path + "-plan")
+    assert [s.arguments() for s in plan.getStages()] == [s.arguments() for s in stages]
+    assert [s.uid for s in plan.getStages()] == [s.uid for s in stages]
+    fitted = plan.fit(df)
+    fitted.write().save(path)
+    again = PipelineModel.load(path)
+    a, b = ({r.window_id: r.e for r in m.transform(df).collect()} for m in (fitted, again))
+    assert a == b and len(a[0]) == 4
+    assert again.stages[3].out_names() == ["p", "q", "r", "p^2", "p*q", "p*r", "q^2", "q*r", "r^2"]
+    # all but the last stage, as the transform step replays it
+    assert "e" not in PipelineModel(again.stages[:-1]).transform(df).columns
+    with pytest.raises(ValueError):
+        SelectKBest("f", "g", "y", score=lambda *a: None).write()
+
+
+def test_value_watch(spark):
+    from pulsegrid.operators.checks import ValueWatch
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(3, [1.0, inf]), (1, [nan, None]), (2, [1.0, 2.0]), (4, None)], "k long, v array<double>")
+    watch = ValueWatch("poly", "v", "k")
+    assert watch.on(df).count() == 4
+    assert [tuple(r) for r in watch.violations(spark).collect()] == [("finite:poly", "1", "3 rows, 4 values")]
+    for clean in (df.filter("k = 2"), df.limit(0)):
+        watch = ValueWatch("clean", "v", "k")
+        watch.on(clean).collect()
+        assert watch.violations(spark).count() == 0
