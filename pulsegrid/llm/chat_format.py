@@ -158,9 +158,9 @@ def _role_out(c):
 
 
 def _role_in(c):
-    """Undo ``_role_out``: backslash pairs are kept apart from ``\\n`` by a control character."""
-    c = F.replace(unescape(c), F.lit("\\\\"), F.lit("\x00"))
-    return F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\x00"), F.lit("\\"))
+    """Undo ``_role_out``: cut at pairs of backslashes from the left, so a backslash left in a part begins ``\\n``."""
+    parts = F.split(unescape(c), r"\\\\", -1)
+    return F.array_join(F.transform(parts, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def format_chats(turns: DataFrame) -> DataFrame:

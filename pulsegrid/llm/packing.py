@@ -9,6 +9,7 @@ only in stretches without an end mark) ``HARD_COST``.
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections import deque
 
@@ -26,7 +27,7 @@ END_ID = 1
 SENTENCE_COST = 2
 HARD_COST = 8
 STRETCH, STEP = 32, 8     # stretches longer than STRETCH ids without an end mark may be cut every STEP ids
-CHUNK = 1 << 18           # ids planned at once; the last window of a plan joins the next plan
+CHUNK = 1 << 18           # ids that wait before a plan is made; which cuts come out doesn't depend on it
 
 _SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
            "`offset` long, sequence_length long")
@@ -47,9 +48,12 @@ def candidates(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray) -> t
     return pos, at[pos]
 
 
-def plan_cuts(pos: np.ndarray, cost: np.ndarray, size: int = SEQUENCE) -> list[int]:
+def plan_cuts(pos: np.ndarray, cost: np.ndarray, size: int = SEQUENCE, more: bool = False) -> list[int]:
     """Ends of the windows of least padding plus penalties.
 
+    With ``more`` ids to come, only the cuts that all best paths share whose last window a later cut can
+    still follow: they belong to the plan of the whole stream, whatever comes.
+
     best(j) = cost(j) + size - pos(j) + min over i with pos(j) - pos(i) <= size of best(i) + pos(i);
     the minimum comes from a queue of increasing values, so each position enters and leaves once.
     """
@@ -69,6 +73,18 @@ def plan_cuts(pos: np.ndarray, cost: np.ndarray, size: int = SEQUENCE) -> list[i
             queue.pop()
         queue.append((key, here, j))
     ends, j = [], n - 1
+    if more:
+        open_ = [-i for i in range(n) if p[i] > p[-1] - size]      # may precede a cut that is not seen yet
+        heapq.heapify(open_)
+        while len(open_) > 1:                                      # the last cut before all of them
+            i = -heapq.heappop(open_)
+            while open_ and open_[0] == -i:
+                heapq.heappop(open_)
+            if not open_:
+                heapq.heappush(open_, -i)
+                break
+            heapq.heappush(open_, -back[i])
+        j = -open_[0]
     while j > 0:
         ends.append(p[j])
         j = back[j]
@@ -81,22 +97,25 @@ class _Stream:
     def __init__(self, ends: np.ndarray, first_sequence: int, size: int, end_id: int):
         self.ends, self.sequence, self.size, self.end_id = ends, first_sequence, size, end_id
         self.waiting: list[tuple] = []       # doc_id, ids before, ids, doc_tokens
-        self.total = 0
+        self.total, self.due = 0, CHUNK
 
     def add(self, doc_id, ids: np.ndarray):
         self.waiting.append((doc_id, 0, ids, len(ids)))
         self.total += len(ids)
 
     def cut(self, last: bool) -> list[tuple]:
-        """Plan over what waits; without ``last`` the final window stays waiting."""
+        """Plan over what waits; without ``last`` what later documents may still change stays waiting."""
         if not self.total:
             return []
         ids = np.concatenate([w[2] for w in self.waiting])
         ends = np.cumsum([len(w[2]) for w in self.waiting])
         soft = np.flatnonzero(self.ends[np.minimum(ids, len(self.ends) - 1)]) + 1
-        plan = plan_cuts(*candidates(len(ids), ends, soft), self.size)
+        plan = plan_cuts(*candidates(len(ids), ends, soft), self.size, not last)
         if not last:
-            plan = plan[:-1]
+            # the next plan starts at an end of a document or sentence, where its cut positions are the same
+            starts = np.union1d(ends, soft)
+            while plan and starts[min(np.searchsorted(starts, plan[-1]), len(starts) - 1)] != plan[-1]:
+                plan.pop()
         rows, at, k = [], 0, 0               # at: ids cut so far, k: current document
         begin = ends - [len(w[2]) for w in self.waiting]
         for stop in plan:
@@ -117,6 +136,7 @@ class _Stream:
                 lo = max(0, at - b)
                 rest.append((doc_id, before + lo, own[lo:], whole))
         self.waiting, self.total = rest, len(ids) - at
+        self.due = 2 * self.total + CHUNK      # planning anew stays a constant share
         return rows
 
 
@@ -124,10 +144,10 @@ def pack(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, id_col: str = "d
          size: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_length``.
 
-    Rows are dealt into ranges of ids and sorted by (id, text); each range is
-    one stream, planned ``CHUNK`` ids at a time, so a task holds a bounded
-    number of ids beyond its largest document, and a range leaves at most one
-    short sequence.  Sequence ids are unique: range number times 2^33 plus
+    Rows are dealt into ranges of ids (of one id: by a hash of the text) and sorted; each range is
+    one stream, cut as soon as the cuts are the same in the plan of the whole
+    stream, so a task holds about ``CHUNK`` ids beyond its largest document, and
+    a range leaves at most one short sequence.  Sequence ids are unique: range number times 2^33 plus
     position.  Null and empty texts are the end id alone; a null id sorts
     first; repeated rows are packed as often as they come; an empty table
     gives no rows; other columns are not read.
@@ -143,10 +163,13 @@ def pack(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, id_col: str = "d
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), text_bytes(b.column(1))):
                 stream.add(doc_id, np.frombuffer(enc.encode(text) + end, "<u4"))
-                if stream.total >= CHUNK and (rows := stream.cut(last=False)):
+                if stream.total >= stream.due and (rows := stream.cut(last=False)):
                     yield out(rows)
         if rows := stream.cut(last=True):
             yield out(rows)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.repartitionByRange("id").sortWithinPartitions("id", "text").mapInArrow(run, _SCHEMA)
+    # rows of one id, or without one, are dealt by a hash of their text
+    rows = rows.withColumn("_h", F.xxhash64("text"))
+    return rows.repartitionByRange("id", "_h").sortWithinPartitions("id", "_h", "text").select("id", "text").mapInArrow(
+        run, _SCHEMA)

@@ -136,7 +136,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on at most ``SAMPLE_ROWS`` labelled rows outside the held-out fold.
 
     Rows with a null id, or a label other than 0 and 1, are not learned from;
-    an id with several labels uses the largest.
+    an id with several labels uses the largest, one with several texts the first
+    by its features.
     """
     rows = (labels.select(F.col("doc_id").cast("long").alias("_id"), F.col(label_col).cast("int").alias("_y"))
                   .filter("_id IS NOT NULL AND _y IN (0, 1)").filter(F.pmod(crc_text("_id"), F.lit(folds)) != held_out)
@@ -153,8 +154,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), *[pa.array([m[i].tobytes() for m in made], pa.binary()) for i in range(3)]],
                 names=["id", "y", "buckets", "weights", "structure"])
-    got = picked.mapInArrow(run, "id long, y int, buckets binary, weights binary, structure binary").collect()
-    got = sorted(got, key=lambda r: (r["id"], bytes(r["structure"]), bytes(r["buckets"])))[:2 * SAMPLE_ROWS]
+    made = picked.mapInArrow(run, "id long, y int, buckets binary, weights binary, structure binary")
+    # one row an id reaches the driver, however often it is repeated
+    got = made.groupBy("id").agg(F.min(F.struct("structure", "buckets", "weights", "y")).alias("r")).select("id", "r.*").collect()
+    got = sorted(got, key=lambda r: r["id"])
     return fit([(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["weights"], np.float32),
                  np.frombuffer(r["structure"], np.float32), r["y"]) for r in got])
 

@@ -101,6 +101,15 @@ def test_chat_edges(spark):
     assert out[-1].loss_chars == len(probe)
 
 
+def test_chat_roles_with_escapes(spark):
+    """Control characters, backslashes and line feeds in roles come back as they were."""
+    roles = ["a\x00b", "\\", "\\n", "\n", "\\\n\\\\n", "\x00\\\n<|im_end|>", "<\\|x", "\\\\\n\n\\"]
+    df = spark.createDataFrame([(i, 0, r, "t") for i, r in enumerate(roles)],
+                               "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r.turns_sha256 for r in C.digest(df).collect()}
+    assert all(got[i] == turns_sha([(r, "t")]) for i, r in enumerate(roles))
+
+
 def test_chat_empty(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert [r.conv_id for r in C.digest(df).collect()] == [-1]

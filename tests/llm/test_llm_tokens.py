@@ -103,6 +103,41 @@ def test_packing(spark, tokenizer, edge, none, monkeypatch):
     assert (len(whole) - ranges) * P.SEQUENCE <= ids * 1.01
 
 
+def test_cuts_do_not_depend_on_when_they_are_made(monkeypatch):
+    """Planned in pieces of any size, a stream is cut as in one plan of the whole, and little waits."""
+    rng = np.random.default_rng(0)
+    flags = np.zeros(100, bool)
+    flags[[3, 4]] = True
+
+    def cut(docs, chunk, size):
+        monkeypatch.setattr(P, "CHUNK", chunk)
+        stream, out, most = P._Stream(flags, 0, size, 1), [], 0
+        for d, ids in enumerate(docs):
+            stream.add(d, ids)
+            most = max(most, stream.total)
+            if stream.total >= stream.due:
+                out += stream.cut(last=False)
+        return out + stream.cut(last=True), most
+    for t in range(45):
+        size = int(rng.integers(40, 300))
+        docs = [rng.integers(2, 100 if rng.random() < 0.7 else 5, int(rng.integers(1, 400))).astype("<u4") for _ in range(60)]
+        if t % 3 == 0:      # no sentence ever ends
+            docs = [np.where(np.isin(d, (3, 4)), 9, d).astype("<u4") for d in docs]
+        whole, _ = cut(docs, 1 << 40, size)
+        for chunk in (1, 64, 500, 3000):
+            got, most = cut(docs, chunk, size)
+            assert got == whole
+            assert most <= 4 * (chunk + 400) + 40 * size
+
+
+def test_packing_of_one_hot_id(spark, tokenizer):
+    rows = [(7 if i % 3 else None, f"text {i} of one id " * (i % 5)) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    check_pieces(rows, P.pack(df).collect(), tokenizer)
+    dealt = S.store_digest(df)
+    assert dealt.count() == 600 and sorted(r.start for r in dealt.collect())[0] == 0
+
+
 def brute_cost(pos, cost, size):
     best = {0: 0}
     for p, c in zip(pos, cost):
