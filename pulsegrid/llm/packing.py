@@ -9,9 +9,10 @@ only in stretches without an end mark) ``HARD_COST``.
 
 from __future__ import annotations
 
-import heapq
 import zlib
+from array import array
 from collections import deque
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,9 @@ END_ID = 1
 SENTENCE_COST = 2
 HARD_COST = 8
 STRETCH, STEP = 32, 8     # stretches longer than STRETCH ids without an end mark may be cut every STEP ids
-CHUNK = 1 << 18           # ids that wait before a plan is made; which cuts come out doesn't depend on it
+GROUP = 1 << 16           # ids whose cut positions are found at once; the cuts don't depend on it
+RANGE_BYTES = 1 << 25     # text of a range of ids, in expectation: one stream, held by one task
+ROWS = 4096               # rows returned at once
 
 _SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
            "`offset` long, sequence_length long")
@@ -48,128 +51,116 @@ def candidates(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray) -> t
     return pos, at[pos]
 
 
-def plan_cuts(pos: np.ndarray, cost: np.ndarray, size: int = SEQUENCE, more: bool = False) -> list[int]:
-    """Ends of the windows of least padding plus penalties.
-
-    With ``more`` ids to come, only the cuts that all best paths share whose last window a later cut can
-    still follow: they belong to the plan of the whole stream, whatever comes.
+class Plan:
+    """Windows of least padding plus penalties over cut positions that come in lots.
 
     best(j) = cost(j) + size - pos(j) + min over i with pos(j) - pos(i) <= size of best(i) + pos(i);
-    the minimum comes from a queue of increasing values, so each position enters and leaves once.
+    the minimum comes from a queue of increasing values, so each position enters and leaves once.  Only
+    the queue has values; of all other positions eight bytes stay: the place and the best one before it.
     """
-    p, c = [0, *pos.tolist()], [0, *cost.tolist()]
-    n = len(p)
-    best, back = [0] * n, [0] * n
-    queue = deque([(0, 0, 0)])               # value, position, index
-    for j in range(1, n):
-        here = p[j]
-        while queue[0][1] < here - size:
-            queue.popleft()
-        value, _, i = queue[0]
-        best[j] = value + size - here + c[j]
-        back[j] = i
-        key = best[j] + here
-        while queue and queue[-1][0] >= key:
-            queue.pop()
-        queue.append((key, here, j))
-    ends, j = [], n - 1
-    if more:
-        open_ = [-i for i in range(n) if p[i] > p[-1] - size]      # may precede a cut that is not seen yet
-        heapq.heapify(open_)
-        while len(open_) > 1:                                      # the last cut before all of them
-            i = -heapq.heappop(open_)
-            while open_ and open_[0] == -i:
-                heapq.heappop(open_)
-            if not open_:
-                heapq.heappush(open_, -i)
-                break
-            heapq.heappush(open_, -back[i])
-        j = -open_[0]
-    while j > 0:
-        ends.append(p[j])
-        j = back[j]
-    return ends[::-1]
+
+    def __init__(self, size: int = SEQUENCE):
+        self.size = size
+        self.queue = deque([(0, 0, 0)])          # value, position, index
+        self.place, self.back = array("I", [0]), array("I", [0])
+
+    def extend(self, pos: list[int], cost: list[int]) -> None:
+        queue, size, back, j = self.queue, self.size, self.back, len(self.back)
+        for here, c in zip(pos, cost):
+            while queue[0][1] < here - size:
+                queue.popleft()
+            value, _, i = queue[0]
+            back.append(i)
+            key = value + size + c                       # best(j) + pos(j)
+            while queue and queue[-1][0] >= key:
+                queue.pop()
+            queue.append((key, here, j))
+            j += 1
+        self.place.extend(pos)
+
+    def cuts(self) -> list[int]:
+        """Ends of the windows; the last position is the last end."""
+        ends, j = [], len(self.back) - 1
+        while j > 0:
+            ends.append(self.place[j])
+            j = self.back[j]
+        return ends[::-1]
+
+
+def plan_cuts(pos: np.ndarray, cost: np.ndarray, size: int = SEQUENCE) -> list[int]:
+    """Ends of the best windows over all positions at once."""
+    plan = Plan(size)
+    plan.extend(pos.tolist(), cost.tolist())
+    return plan.cuts()
 
 
 class _Stream:
-    """Documents waiting to be cut, and the rows of the windows already cut."""
-
-    def __init__(self, ends: np.ndarray, first_sequence: int, size: int, end_id: int):
-        self.ends, self.sequence, self.size, self.end_id = ends, first_sequence, size, end_id
-        self.waiting: list[tuple] = []       # doc_id, ids before, ids, doc_tokens
-        self.total, self.due = 0, CHUNK
-
-    def add(self, doc_id, ids: np.ndarray):
-        self.waiting.append((doc_id, 0, ids, len(ids)))
-        self.total += len(ids)
-
-    def cut(self, last: bool) -> list[tuple]:
-        """Plan over what waits; without ``last`` what later documents may still change stays waiting."""
-        if not self.total:
-            return []
-        ids = np.concatenate([w[2] for w in self.waiting])
-        ends = np.cumsum([len(w[2]) for w in self.waiting])
-        soft = np.flatnonzero(self.ends[np.minimum(ids, len(self.ends) - 1)]) + 1
-        plan = plan_cuts(*candidates(len(ids), ends, soft), self.size, not last)
-        if not last:
-            # the next plan starts at an end of a document or sentence, where its cut positions are the same
-            starts = np.union1d(ends, soft)
-            while plan and starts[min(np.searchsorted(starts, plan[-1]), len(starts) - 1)] != plan[-1]:
-                plan.pop()
-        rows, at, k = [], 0, 0               # at: ids cut so far, k: current document
-        begin = ends - [len(w[2]) for w in self.waiting]
-        for stop in plan:
+    """The documents of a range and the plan over them so far."""
+
+    def __init__(self, flags: np.ndarray, size: int):
+        self.flags, self.plan = flags, Plan(size)
+        self.docs: list[tuple] = []              # doc_id, ids as bytes
+        self.new, self.waiting, self.total = 0, 0, 0   # documents and ids not yet in the plan, ids in it
+
+    def add(self, doc_id, raw: bytes):
+        self.docs.append((doc_id, raw))
+        self.waiting += len(raw) // 4
+        if self.waiting >= GROUP:
+            self.settle()
+
+    def settle(self):
+        """Cut positions of the waiting documents; a document's start and end are free, so lots don't matter."""
+        group = [np.frombuffer(raw, "<u4") for _, raw in self.docs[self.new:]]
+        if group:
+            ids = np.concatenate(group)
+            soft = np.flatnonzero(self.flags[np.minimum(ids, len(self.flags) - 1)]) + 1
+            pos, cost = candidates(len(ids), np.cumsum([len(g) for g in group]), soft)
+            self.plan.extend((pos + self.total).tolist(), cost.tolist())
+            self.total += len(ids)
+        self.new, self.waiting = len(self.docs), 0
+
+    def rows(self, sequence: int):
+        """The pieces of all windows, numbered from ``sequence``."""
+        self.settle()
+        at, k, begin, offset = 0, -1, 0, 0       # ids cut so far; the current document, where it begins and ends
+        end = 0
+        for stop in self.plan.cuts():
             offset, length = 0, stop - at
             while at < stop:
-                while ends[k] <= at:
-                    k += 1
-                doc_id, before, own, whole = self.waiting[k]
-                lo, hi = at - int(begin[k]), min(stop, int(ends[k])) - int(begin[k])
-                rows.append((doc_id, before + lo, hi - lo, zlib.crc32(own[lo:hi].tobytes()), whole,
-                             self.sequence, offset, length))
+                while end <= at:
+                    k, begin = k + 1, end
+                    end = begin + len(self.docs[k][1]) // 4
+                doc_id, raw = self.docs[k]
+                lo, hi = at - begin, min(stop, end) - begin
+                yield (doc_id, lo, hi - lo, zlib.crc32(raw[4 * lo:4 * hi]), end - begin, sequence, offset, length)
                 offset += hi - lo
                 at += hi - lo
-            self.sequence += 1
-        rest = []
-        for b, e, (doc_id, before, own, whole) in zip(begin.tolist(), ends.tolist(), self.waiting):
-            if e > at:
-                lo = max(0, at - b)
-                rest.append((doc_id, before + lo, own[lo:], whole))
-        self.waiting, self.total = rest, len(ids) - at
-        self.due = 2 * self.total + CHUNK      # planning anew stays a constant share
-        return rows
+            sequence += 1
 
 
 def pack(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, id_col: str = "doc_id", text_col: str = "text",
          size: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_length``.
 
-    Rows are dealt into ranges of ids (of one id: by a hash of the text) and sorted; each range is
-    one stream, cut as soon as the cuts are the same in the plan of the whole
-    stream, so a task holds about ``CHUNK`` ids beyond its largest document, and
-    a range leaves at most one short sequence.  Sequence ids are unique: range number times 2^33 plus
-    position.  Null and empty texts are the end id alone; a null id sorts
-    first; repeated rows are packed as often as they come; an empty table
-    gives no rows; other columns are not read.
+    Rows are dealt into ranges of ids (of one id: by a hash of the text) and
+    sorted; a range holds about ``RANGE_BYTES`` of text, is one stream with one
+    plan, and leaves at most one short sequence.  Sequence ids are unique: range
+    number times 2^33 plus position.  Null and empty texts are the end id alone;
+    a null id sorts first; repeated rows are packed as often as they come; an
+    empty table gives no rows; other columns are not read.
     """
     def run(batches):
-        enc, flags = encoder(vocabulary), sentence_end_ids(vocabulary)
-        stream = _Stream(flags, TaskContext.get().partitionId() << 33, size, end_id)
-        end = int(end_id).to_bytes(4, "little")
-
-        def out(rows):
-            cols = list(zip(*rows))
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=_NAMES)
+        enc, end = encoder(vocabulary), int(end_id).to_bytes(4, "little")
+        stream = _Stream(sentence_end_ids(vocabulary), size)
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), text_bytes(b.column(1))):
-                stream.add(doc_id, np.frombuffer(enc.encode(text) + end, "<u4"))
-                if stream.total >= stream.due and (rows := stream.cut(last=False)):
-                    yield out(rows)
-        if rows := stream.cut(last=True):
-            yield out(rows)
+                stream.add(doc_id, enc.encode(text) + end)
+        for lot in batched(stream.rows(TaskContext.get().partitionId() << 33), ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*lot)], names=_NAMES)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    held = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-held // RANGE_BYTES))
     # rows of one id, or without one, are dealt by a hash of their text
-    rows = rows.withColumn("_h", F.xxhash64("text"))
-    return rows.repartitionByRange("id", "_h").sortWithinPartitions("id", "_h", "text").select("id", "text").mapInArrow(
-        run, _SCHEMA)
+    return (rows.withColumn("_h", F.xxhash64("text")).repartitionByRange(ranges, "id", "_h")
+                .sortWithinPartitions("id", "_h", "text").select("id", "text").mapInArrow(run, _SCHEMA))

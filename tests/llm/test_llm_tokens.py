@@ -96,38 +96,38 @@ def test_packing(spark, tokenizer, edge, none, monkeypatch):
     assert P.pack(none).count() == 0
     docs = spark.read.parquet(SMALL + "/documents.parquet")
     whole = check_pieces(small_rows(spark), P.pack(docs).collect(), tokenizer)
-    monkeypatch.setattr(P, "CHUNK", 5000)        # many plans in a row cut the same stream
+    monkeypatch.setattr(P, "RANGE_BYTES", 20_000)        # many short streams
     check_pieces(small_rows(spark), P.pack(docs).collect(), tokenizer)
     ids = sum(r.length for s in whole.values() for r in s)
     ranges = len({k >> 33 for k in whole})
     assert (len(whole) - ranges) * P.SEQUENCE <= ids * 1.01
 
 
-def test_cuts_do_not_depend_on_when_they_are_made(monkeypatch):
-    """Planned in pieces of any size, a stream is cut as in one plan of the whole, and little waits."""
+def test_stream_is_one_plan(monkeypatch):
+    """Positions found in lots of any size give the cuts of one plan over the whole stream, and the
+    pieces hold every id once."""
     rng = np.random.default_rng(0)
     flags = np.zeros(100, bool)
     flags[[3, 4]] = True
-
-    def cut(docs, chunk, size):
-        monkeypatch.setattr(P, "CHUNK", chunk)
-        stream, out, most = P._Stream(flags, 0, size, 1), [], 0
-        for d, ids in enumerate(docs):
-            stream.add(d, ids)
-            most = max(most, stream.total)
-            if stream.total >= stream.due:
-                out += stream.cut(last=False)
-        return out + stream.cut(last=True), most
     for t in range(45):
         size = int(rng.integers(40, 300))
         docs = [rng.integers(2, 100 if rng.random() < 0.7 else 5, int(rng.integers(1, 400))).astype("<u4") for _ in range(60)]
         if t % 3 == 0:      # no sentence ever ends
             docs = [np.where(np.isin(d, (3, 4)), 9, d).astype("<u4") for d in docs]
-        whole, _ = cut(docs, 1 << 40, size)
-        for chunk in (1, 64, 500, 3000):
-            got, most = cut(docs, chunk, size)
-            assert got == whole
-            assert most <= 4 * (chunk + 400) + 40 * size
+        ids = np.concatenate(docs)
+        pos, cost = P.candidates(len(ids), np.cumsum([len(d) for d in docs]), np.flatnonzero(flags[ids]) + 1)
+        want = P.plan_cuts(pos, cost, size)
+        for group in (1, 64, 500, 1 << 40):
+            monkeypatch.setattr(P, "GROUP", group)
+            stream = P._Stream(flags, size)
+            for d, x in enumerate(docs):
+                stream.add(d, x.tobytes())
+            rows = list(stream.rows(5))
+            assert stream.plan.cuts() == want
+            assert [r[5] for r in rows] == [5 + int(np.searchsorted(want, at, "right")) for at in np.cumsum([0, *[r[2] for r in rows]])[:-1]]
+            assert all(zlib.crc32(docs[d][lo:lo + n].tobytes()) == crc and whole == len(docs[d])
+                       for d, lo, n, crc, whole, *_ in rows)
+            assert sum(r[2] for r in rows) == len(ids) and all(r[7] <= size for r in rows)
 
 
 def test_packing_of_one_hot_id(spark, tokenizer):
