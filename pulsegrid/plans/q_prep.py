@@ -130,6 +130,31 @@ def q_select(spark, sf_dir):
                                  "pos int, fscore double, selected boolean")
 
 
+CHAIN_KEEP = 6
+_FOLD = "('0x' || substr(md5(concat('42:', window_id::VARCHAR)), 1, 8))::BIGINT % 3"
+
+
+@register("fold_chains", _F_SQL.split(", fs AS (")[0] + f""", tr AS (
+  SELECT c AS chain, window_id, i, vn, y FROM ev JOIN nxt USING (window_id), (SELECT unnest(range(4)) AS c) t
+  WHERE c = 3 OR {_FOLD} <> c),
+md AS (SELECT chain, i, median(vn) FILTER (WHERE NOT isnan(vn)) AS median FROM tr GROUP BY chain, i),
+im AS (SELECT tr.chain, tr.i, y, median, CASE WHEN isnan(vn) THEN median ELSE vn END AS v FROM tr JOIN md USING (chain, i)),
+st AS (SELECT chain, i, any_value(median) AS median, avg(v) AS mean, stddev_pop(v) AS std, corr(v, y) AS r, count(*) AS n
+       FROM im GROUP BY chain, i),
+sc AS (SELECT *, r * r / (1 - r * r) * (n - 2) AS f FROM st)
+SELECT chain::BIGINT AS chain, i::BIGINT AS pos, {R('median')} AS median, {R('mean')} AS mean, {R('std')} AS std,
+       {R('f')} AS fscore, row_number() OVER (PARTITION BY chain ORDER BY f DESC, i DESC) <= {CHAIN_KEEP} AS selected FROM sc""")
+def q_fold_chains(spark, sf_dir):
+    """Medians, scalers and F selection of every fold's own chain (3: all rows), from shared scans."""
+    from pulsegrid.operators import folds as FO
+    from pulsegrid.operators.fold_chains import fit_chains
+    w = ev_windows(spark, sf_dir).filter(F.col("y").isNotNull()).withColumn("fold", FO.fold_expr("window_id", 3, 42))
+    chains = fit_chains(w, [0, 1, 2, None], "x_nan", "y", "fold", "window_id", 16, "f", True, CHAIN_KEEP, 10)
+    rows = [(g, i, float(c.medians[i]), float(c.mean[i]), float(c.std[i]), float(c.scores1[i]), i in set(c.base.tolist()))
+            for g, c in enumerate(chains) for i in range(16)]
+    return spark.createDataFrame(rows, "chain int, pos int, median double, mean double, std double, fscore double, selected boolean")
+
+
 def _lasso1_sql():
     return LI_SQL + f""", s AS (SELECT count(*) AS n, avg(x0) AS m0, avg(y) AS my,
   covar_pop(x0, y) AS sxy, var_pop(x0) AS sxx FROM d),
