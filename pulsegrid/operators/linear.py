@@ -148,8 +148,11 @@ def predict(df: DataFrame, model: LinearModel, features, out: str = "prediction"
 LASSO_TOL = 1e-4
 SWEEPS = 3                # sweeps of coordinate descent of a round
 JOIN = 10                 # columns that may join the support in a round, or a quarter of it
-STALLED = 200             # rounds without any progress that end a lasso fit with an error
+STALLED = 200             # rounds without any progress after which interior points take over
 DIRECT_WIDTH = 256        # up to here one Gramian of all columns; beyond, of the screened ones
+STEP_WIDTH = 256          # largest support of exact steps (one coefficient each); beyond, interior points
+STEPS = 300               # exact steps of a fit; after them interior points
+INTERIOR_STEPS = 200      # interior-point steps after which a fit raises
 SCREEN_STEP = 256         # columns that join a round at least, if so many break the bound
 
 
@@ -195,6 +198,54 @@ def support_step(C, c, w, l1, l2=0.0):
     return out, not free and t == 1.0
 
 
+def _lasso_interior(C, c, yy, l1, l2, tol):
+    """The lasso of ``lasso_cd`` by a primal-dual interior-point method (predictor and corrector steps).
+
+    w = a - b with a, b >= 0 and dual slacks za, zb = l1 +- gradient; a step solves one system of C + l2 and a
+    diagonal, so some tens of them do however wide the support is.  Ends once both the duality gap and the
+    complementarity are below tol x yy, or raises."""
+    p, diag = len(c), np.diag_indices(len(c))
+    K = C.copy()
+    K[diag] += l2
+    M = K.copy()
+    M[diag] += 1e-6 * max(np.trace(C) / p, 1e-300)
+    w = np.linalg.solve(M, c)                          # the start: a ridge solution, well inside
+    a, b = np.maximum(w, 0.0), np.maximum(-w, 0.0)
+    room = max(np.abs(w).max(), 1e-300)
+    a, b = a + room, b + room
+    za = np.full(p, l1 + np.abs(K @ w - c).max())
+    zb = za.copy()
+
+    def reach(*pairs):
+        return min([1.0, *((-v[d < 0] / d[d < 0]).min() for v, d in pairs if (d < 0).any())])
+
+    for _ in range(INTERIOR_STEPS):
+        g = K @ (a - b) - c
+        ra, rb = g + l1 - za, -g + l1 - zb
+        mu, H = (a @ za + b @ zb) / (2 * p), a / za + b / zb
+        M = K.copy()
+        M[diag] += 1.0 / H
+
+        def step(ca, cb):
+            q = ca / za - cb / zb - a / za * ra + b / zb * rb
+            dw = np.linalg.solve(M, q / H)
+            kd = (q - dw) / H                          # K dw without its rounding
+            return (ca - a * (kd + ra)) / za, (cb - b * (rb - kd)) / zb, kd + ra, rb - kd
+        da, db, dza, dzb = step(-a * za, -b * zb)
+        t = reach((a, da), (b, db), (za, dza), (zb, dzb))
+        ahead = ((a + t * da) @ (za + t * dza) + (b + t * db) @ (zb + t * dzb)) / (2 * p)
+        aim = (ahead / mu) ** 3 * mu
+        da, db, dza, dzb = step(aim - a * za - da * dza, aim - b * zb - db * dzb)
+        t = 0.99 * reach((a, da), (b, db), (za, dza), (zb, dzb))
+        a, b, za, zb = a + t * da, b + t * db, za + t * dza, zb + t * dzb
+        w = a - b
+        gap = _duality_gap(C, c, yy, w, l1, l2)
+        if gap <= tol * yy and a @ za + b @ zb <= tol * yy:
+            clean = np.where(np.abs(w) > 1e-8 * np.abs(w).max(), w, 0.0)
+            return clean if _duality_gap(C, c, yy, clean, l1, l2) <= tol * yy else w
+    raise RuntimeError(f"lasso stalled at a duality gap of {gap / yy:.3g}, above {tol:.3g}")
+
+
 def lasso_cd(C: np.ndarray, c: np.ndarray, n: float, alpha: float, l1_ratio: float = 1.0,
              tol: float = LASSO_TOL, yy: float | None = None, w0: np.ndarray | None = None) -> np.ndarray:
     """Minimise 1/(2n)||yc - Xc w||^2 + alpha*(l1 ||w||_1 + (1-l1)/2 ||w||^2) from the
@@ -202,12 +253,14 @@ def lasso_cd(C: np.ndarray, c: np.ndarray, n: float, alpha: float, l1_ratio: flo
 
     Sweeps of coordinate descent alternate with exact steps on the signed
     support.  Both lower the objective; the fit ends once the duality gap is
-    below tol x yy, and raises if rounding stops it before that."""
+    below tol x yy.  A step costs a decomposition for each coefficient that leaves,
+    so a support beyond ``STEP_WIDTH`` columns and a fit that takes more than
+    ``STEPS`` of them or stalls are solved by interior points to the same gap."""
     yy = float(yy) if yy is not None else float(c @ np.linalg.lstsq(C, c, rcond=None)[0])
     l1, l2 = alpha * l1_ratio * n, alpha * (1.0 - l1_ratio) * n
     w = np.zeros(len(c)) if w0 is None else w0.astype(float).copy()
     diag = np.diag(C).copy()
-    best, still = np.inf, 0
+    best, still, steps = np.inf, 0, 0
 
     def objective(v):
         return 0.5 * (v @ (C @ v)) - c @ v + l1 * np.abs(v).sum() + 0.5 * l2 * (v @ v)
@@ -229,13 +282,18 @@ def lasso_cd(C: np.ndarray, c: np.ndarray, n: float, alpha: float, l1_ratio: flo
         gap = _duality_gap(C, c, yy, w, l1, l2)
         if gap <= tol * yy:
             return w
+        if l1 > 0 and (np.count_nonzero(w) > STEP_WIDTH or steps > STEPS or still > STALLED):
+            return _lasso_interior(C, c, yy, l1, l2, tol)
         whole = False
         while not whole and (step := support_step(C, c, w, l1, l2)) is not None and objective(step[0]) < objective(w):
             w, whole = step
+            steps += 1
+            if l1 > 0 and steps > STEPS:
+                break
         value = objective(w)
         still = 0 if value < best - 1e-15 * yy else still + 1
         best = min(best, value)
-        if still > STALLED:
+        if still > STALLED and l1 <= 0:
             raise RuntimeError(f"lasso stalled at a duality gap of {gap / yy:.3g}, above {tol:.3g}")
 
 

@@ -431,3 +431,38 @@ def test_wearable_model_on_whole_windows(spark):
     broken = train.withColumn("bvp", F.transform("bvp", lambda v: v * float("inf")))
     with pytest.raises(ValueError):
         wearable_model(broken, test, alphas=(1.0,), lasso_keep=20)
+
+
+def test_lasso_of_a_wide_support_takes_few_exact_steps(monkeypatch):
+    """Collinear expanded columns and a small penalty: the support holds nearly every column."""
+    from pulsegrid.operators import linear as L
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(900, 30))
+    base[:, 20:] = base[:, :10] + 1e-3 * rng.normal(size=(900, 10))
+    i, j = np.triu_indices(30)
+    X = np.hstack([base, base[:, i] * base[:, j]])
+    X = (X - X.mean(0)) / X.std(0)
+    y = 2e4 * (X[:, 3] - X[:, 400] + rng.normal(size=900))
+    y -= y.mean()
+    calls, step = [], L.support_step
+    monkeypatch.setattr(L, "support_step", lambda *a, **k: (calls.append(1), step(*a, **k))[1])
+    C, c, yy, l1 = X.T @ X, X.T @ y, y @ y, 1e-3 * 900
+    w = L.lasso_cd(C, c, 900, 1e-3, tol=1e-6, yy=yy)
+    assert len(calls) <= 2 * L.STEPS
+    assert L._duality_gap(C, c, yy, w, l1, 0.0) <= 1e-6 * yy
+    exact = L._lasso_interior(C, c, yy, l1, 0.0, 1e-8)
+    value = lambda v: 0.5 * v @ (C @ v) - c @ v + l1 * np.abs(v).sum()
+    assert value(w) - value(exact) <= 1e-6 * yy
+
+
+def test_interior_points_agree_with_exact_steps():
+    from pulsegrid.operators import linear as L
+    rng = np.random.default_rng(6)
+    X = rng.normal(size=(200, 40))
+    X -= X.mean(0)
+    y = X[:, :5] @ [3.0, -2.0, 1.0, 4.0, -1.0] + rng.normal(size=200)
+    y -= y.mean()
+    for l1, l2 in ((20.0, 0.0), (10.0, 5.0)):
+        got = L._lasso_interior(X.T @ X, X.T @ y, y @ y, l1, l2, 1e-13)
+        want = L.lasso_cd(X.T @ X, X.T @ y, 1.0, l1 + l2, l1 / (l1 + l2), tol=1e-13, yy=y @ y)
+        np.testing.assert_allclose(got, want, atol=1e-6)
