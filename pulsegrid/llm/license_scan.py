@@ -3,10 +3,11 @@
 A notice with at most k edited words keeps one of k + 1 parts of its template
 word for word, so the places of these parts name every candidate window: the
 template's length and k words of margin around them, however long the text.
-Each place is compressed alone and with the template as zstandard raw
-dictionary; the size reduction as a share of the template's own ranks the
-templates of a place, and the exact wording differences (the word alignment of
-the template inside the window) confirm them.
+Each window is compressed alone and with the template as zstandard raw
+dictionary; the bytes saved rank the windows of a text, so they decide which
+template takes a place that several claim.  In that order the exact wording
+differences (the word alignment of the template inside the window) confirm
+them; no window is given up for its rank.
 """
 
 from __future__ import annotations
@@ -161,21 +162,25 @@ class Scanner:
                     out.append((i, at - x, a, at - x + end))
         return out
 
-    def reduction(self, i: int, words: list[str]) -> float:
+    def saved(self, i: int, words: list[str]) -> int:
+        """Bytes that template ``i`` as dictionary saves on the compressed words."""
         raw = " ".join(words).encode()
-        return (len(self.plain.compress(raw)) - len(self.known[i][3].compress(raw))) / self.known[i][4]
+        return len(self.plain.compress(raw)) - len(self.known[i][3].compress(raw))
+
+    def reduction(self, i: int, words: list[str]) -> float:
+        return self.saved(i, words) / self.known[i][4]
 
     def scan(self, text: str | None) -> list[tuple]:
         """(license, template, start, length, reduction, edits, words, differences, kind) by place.
 
-        Every notice is found: of all places the one with most words in common
-        is taken first (then the largest reduction), and a window that it cuts
-        is aligned again in what it leaves, until nothing is confirmed.
+        Every notice is found: of all windows the one that its template shrinks
+        most is tried first, and taken if the alignment confirms it; a window
+        that it cuts is compressed anew in what it leaves, until none is left.
         """
         words, spans = words_of(text or "")
         free: list[int] = []      # ends of taken places, in order; `taken` holds their firsts
         taken: list[int] = []
-        known: dict = {}
+        seen: dict = {}
         heap: list[tuple] = []
 
         def offer(seed: tuple[int, int, int, int], lo: int, hi: int) -> None:
@@ -183,31 +188,34 @@ class Scanner:
             m = len(self.known[i][2])
             margin = int(MOST_EDITS * m)
             a, b = max(lo, place - margin), min(hi, place + m + margin)
-            if (i, a, b) not in known:
-                edits, first, end, told = align(self.known[i][2], words[a:b])
-                ok = edits <= margin
-                known[i, a, b] = ok and (edits - m, -self.reduction(i, words[a + first:a + end]), a + first, i,
-                                         a + end, edits, told)
-            if known[i, a, b]:
-                heapq.heappush(heap, (*known[i, a, b], seed))
+            if (i, a, b) not in seen:
+                seen[i, a, b] = self.saved(i, words[a:b])
+            heapq.heappush(heap, (-seen[i, a, b], a, b, i, seed))
 
         for seed in self.seeds(words):
             offer(seed, 0, len(words))
-        out = []
+        out, told = [], {}
         while heap:
-            _, less, first, i, end, edits, told, seed = heapq.heappop(heap)
+            _, a, b, i, seed = heapq.heappop(heap)
             k = bisect_right(taken, seed[2])
             lo, hi = free[k - 1] if k else 0, taken[k] if k < len(taken) else len(words)
             if seed[2] < lo or seed[3] > hi:
                 continue                      # the unchanged part itself is taken
-            if first < lo or end > hi:
+            if a < lo or b > hi:
                 offer(seed, lo, hi)
                 continue
+            name, number, template, _, _ = self.known[i]
+            if (i, a, b) not in told:
+                told[i, a, b] = align(template, words[a:b])
+            edits, first, end, differences = told[i, a, b]
+            if edits > int(MOST_EDITS * len(template)):
+                continue
+            first, end = a + first, a + end
             taken.insert(k, first)
             free.insert(k, end)
-            name, number, template, _, _ = self.known[i]
-            out.append((name, number, spans[first][0], spans[end - 1][1] - spans[first][0], float(-less), edits,
-                        len(template), told, "exact" if not edits else "changed"))
+            out.append((name, number, spans[first][0], spans[end - 1][1] - spans[first][0],
+                        self.reduction(i, words[first:end]), edits, len(template), differences,
+                        "exact" if not edits else "changed"))
         return sorted(out, key=lambda r: (r[2], r[0]))
 
 

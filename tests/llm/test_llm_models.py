@@ -245,6 +245,17 @@ def test_license_every_template_is_aligned():
         assert list(map(key, notices(text))) == list(map(key, brute_notices(S.words_of(text)[0])))
 
 
+def test_license_reduction_decides_between_templates(monkeypatch):
+    """Templates one word apart claim one place: the bytes saved choose, and without them the choice is wrong."""
+    text = " ".join(["We ship it."] + [S.TEMPLATES[name][k] + " More follows here." for name, k in
+                                       (("GPL-2.0", 0), ("GPL-3.0", 0), ("GPL-2.0", 1))])
+    assert [(r[0], r[1], r[5]) for r in S.Scanner(S.TEMPLATES).scan(text)] == [
+        ("GPL-2.0", 0, 0), ("GPL-3.0", 0, 0), ("GPL-2.0", 1, 0)]
+    monkeypatch.setattr(S.Scanner, "saved", lambda self, i, words: 0)
+    assert [(r[0], r[1], r[5]) for r in S.Scanner(S.TEMPLATES).scan(text)] != [
+        ("GPL-2.0", 0, 0), ("GPL-3.0", 0, 0), ("GPL-2.0", 1, 0)]
+
+
 def edits(rng, text, n):
     t = list(text)
     for _ in range(n):
