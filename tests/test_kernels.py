@@ -134,3 +134,17 @@ def test_welch_single_segment_is_periodogram():
     np.testing.assert_allclose(p[0], spec)
     bp = K.band_powers(f, p)
     assert bp[0, 0] == 0.0                               # VLF holds no bin at 0.0625 Hz spacing
+
+
+def test_kernels_see_slices_of_a_batch(spark, monkeypatch):
+    """A long Arrow batch reaches a kernel in slices of bounded size, in row order, nulls and lengths kept."""
+    from pulsegrid.operators import arrow_map as AM
+    import pyarrow as pa
+    arrays = [None if i % 7 == 3 else [float(i)] * (1 + i % 3) for i in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(500), pa.int64()), pa.array(arrays, pa.list_(pa.float64()))],
+                                       names=["k", "a"])
+    monkeypatch.setattr(AM, "SLICE_VALUES", 40)
+    parts = list(AM._slices(batch, ["a"]))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert len(parts) > 10 and all(sum(len(v or ()) for v in p.column("a").to_pylist()) <= 40 for p in parts)
+    assert not list(AM._slices(batch.slice(0, 0), ["a"]))
