@@ -243,6 +243,8 @@ def _lasso_interior(C, c, yy, l1, l2, tol):
         if gap <= tol * yy and a @ za + b @ zb <= tol * yy:
             clean = np.where(np.abs(w) > 1e-8 * np.abs(w).max(), w, 0.0)
             return clean if _duality_gap(C, c, yy, clean, l1, l2) <= tol * yy else w
+        if not np.isfinite(gap):
+            break
     raise RuntimeError(f"lasso stalled at a duality gap of {gap / yy:.3g}, above {tol:.3g}")
 
 
