@@ -466,3 +466,16 @@ def test_interior_points_agree_with_exact_steps():
         got = L._lasso_interior(X.T @ X, X.T @ y, y @ y, l1, l2, 1e-13)
         want = L.lasso_cd(X.T @ X, X.T @ y, 1.0, l1 + l2, l1 / (l1 + l2), tol=1e-13, yy=y @ y)
         np.testing.assert_allclose(got, want, atol=1e-6)
+
+
+def test_one_feature_may_fill_a_group():
+    """Chains beyond 32,768 rows: the same scores from groups of one feature as from cells."""
+    from pulsegrid.operators import mutual_info as MI
+    rng = np.random.default_rng(7)
+    n = MI.SHARED_POINTS + 1000
+    assert n <= MI.GROUP_POINTS
+    y = rng.normal(size=n)
+    x = y + rng.normal(size=n)
+    px, py = MI._group_psi(x[None, :], y, 3)
+    score = MI._digamma_int(n) + MI._digamma_int(3) - px[0] - py[0]
+    assert abs(score - 0.5 * np.log(2.0)) < 0.02           # correlation sqrt(1/2)
