@@ -226,7 +226,8 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
         sig.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull()).groupBy("set_key")
            .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"),
                 F.first("sketch").alias("sketch"), F.first("buckets").alias("buckets")), "near-classes")
-    places = classes.select("node", F.posexplode("buckets").alias("band", "bucket"))
+    # Spark sizes what is exploded, or packed on disk, far too low: hints keep such rows out of broadcasts
+    places = classes.select("node", F.posexplode("buckets").alias("band", "bucket")).hint("merge")
     full = places.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("_size")).filter("_size > 1")
     # (bucket, node) of every bucket with company
     busy = materialise(places.join(full, ["band", "bucket"]), "near-buckets")
@@ -248,7 +249,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     blocks = F.ceil(F.col("_size") / BLOCK).cast("int")
     placed = busy.select("band", "bucket", "node", blocks.alias("_blocks"),
                          F.pmod(F.xxhash64("node"), blocks).cast("int").alias("_block"))
-    first = placed.join(bodies, "node").withColumn("label", F.col("node"))
+    first = placed.hint("merge").join(bodies, "node").withColumn("label", F.col("node"))
     links = materialise(_verify(first, ["band", "bucket", "_block"], width, limit, percent, False), "near-links")
     labels = components(links)
     # what buckets of several blocks still keep apart: every pair of blocks
@@ -261,7 +262,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
         pairs = named.join(apart, ["band", "bucket"]).withColumn(
             "_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).filter("_other != _block")
         pairs = pairs.withColumns({"_p": F.least("_block", "_other"), "_q": F.greatest("_block", "_other")})
-        more = _verify(pairs.join(bodies, "node"), ["band", "bucket", "_p", "_q"], width, limit, percent, True)
+        more = _verify(pairs.hint("merge").join(bodies, "node"), ["band", "bucket", "_p", "_q"], width, limit, percent, True)
         more = materialise(more, "near-links")
         labels = components(links.union(more))
     of_class = classes.select(F.col("set_key").alias("_key"), "node").join(labels, "node", "left").select(

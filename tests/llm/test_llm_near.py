@@ -97,3 +97,18 @@ def test_components_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99)], "a long, b long")
     rows = dict(tuple(r) for r in N.components(edges).collect())
     assert rows == {**{i: 0 for i in range(41)}, 99: 99, 100: 99}
+
+
+def test_exploded_rows_are_never_broadcast(spark, monkeypatch):
+    """Places of classes in buckets come from an explode, which Spark sizes like its input: small tables too
+    must join them without a broadcast."""
+    plans, write = {}, N.materialise
+
+    def seen(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+    monkeypatch.setattr(N, "materialise", seen)
+    df = spark.createDataFrame(list(enumerate(near_copies(40, 60, 4, 1))), "doc_id long, text string")
+    N.near_groups(df, 3, 85, 24, 5).collect()
+    for name in ("near-buckets", "near-links"):
+        assert "SortMergeJoin" in plans[name] and "Broadcast" not in plans[name]
