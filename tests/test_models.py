@@ -479,3 +479,67 @@ def test_one_feature_may_fill_a_group():
     px, py = MI._group_psi(x[None, :], y, 3)
     score = MI._digamma_int(n) + MI._digamma_int(3) - px[0] - py[0]
     assert abs(score - 0.5 * np.log(2.0)) < 0.02           # correlation sqrt(1/2)
+
+
+def test_wearable_model_fits_on_every_row(spark, monkeypatch):
+    """Part c's lasso takes no sample: the rows it counts are the training rows."""
+    from conftest import SMALL
+    from pulsegrid.operators import folds as FO
+    from pulsegrid.operators import linear as L
+    from pulsegrid.plans.protocols import wearable_model
+    from pulsegrid.sources.tables import li_wear
+
+    def none(*a, **k):
+        raise AssertionError("a sample was taken")
+    rows, fit = [], L.fit_lasso
+    monkeypatch.setattr(FO, "sample_n", none)
+    monkeypatch.setattr(L, "fit_lasso", lambda *a, **k: (rows.append(fit(*a, **k)), rows[-1])[1])
+    w = FO.split_random(li_wear(spark, SMALL).filter(F.col("y").isNotNull()), "window_id", 0.2).persist()
+    train, test = (w.filter(F.col("split") == s) for s in ("train", "test"))
+    wearable_model(train, test, alphas=(1.0,), lasso_keep=5)
+    assert [m.meta["n"] for m in rows] == [train.count()]
+
+
+@pytest.mark.parametrize("in_tasks", (True, False))
+def test_fits_without_a_penalty_end_on_nearly_collinear_columns(spark, monkeypatch, in_tasks):
+    """Directions of 1e-6 of the spread, and others of rounding only, keep no fit from its gap."""
+    from pulsegrid.operators import robust as R
+    if not in_tasks:
+        monkeypatch.setattr(R, "TASK_VALUES", 0)
+    rng = np.random.default_rng(11)
+    n = 400
+    X = rng.normal(size=(n, 4))
+    X = np.hstack([X, X[:, :2] + 1e-6 * rng.normal(size=(n, 2)), X[:, 2:3] + 1e-9 * rng.normal(size=(n, 1))])
+    X = X.astype("f4").astype(float)
+    y = X[:, 0] + rng.standard_t(2, size=n)
+    rows = [(X[i].tolist(), float(y[i]), i % 2) for i in range(n)]
+    df = spark.createDataFrame(rows, "f array<double>, y double, fold int").repartition(2).persist()
+    _, models = R.fit_robust_grid(df, "f", "y", [R.GridPoint(0.0), R.GridPoint(1e-3)], "fold", 2, method="wide")
+    assert len(models) == 6
+    for m in models.values():
+        assert m.meta["gap"] <= R.GAP
+    best = np.abs(y - np.median(y)).mean()
+    assert models[(0, R.ALL_ROWS)].meta["objective"] < best
+
+
+def test_derived_columns_equal_stored_ones(spark):
+    """Columns made inside the passes give the moments, lasso and robust fits of the same columns in a table."""
+    from pulsegrid.operators import robust as R
+    from pulsegrid.operators.linear import fit_lasso
+    from pulsegrid.operators.moments import Derived, moment_sums, total
+    from pulsegrid.operators.prep import ExpandedMatrix, PolynomialExpansion
+    rng = np.random.default_rng(12)
+    X = rng.normal(size=(150, 3))
+    y = X[:, 0] * X[:, 1] + rng.normal(size=150)
+    rows = [(X[i].tolist(), float(y[i]), i % 2) for i in range(150)]
+    df = spark.createDataFrame(rows, "f array<double>, y double, fold int").repartition(3).persist()
+    held = PolynomialExpansion("f", "z", width=3).transform(df).persist()
+    made = Derived("z", "f", ExpandedMatrix(3), 9)
+    a, b = (total(moment_sums(d, c, "y")) for d, c in ((held, "z"), (df, made)))
+    np.testing.assert_allclose(a.centered(), b.centered(), rtol=1e-12, atol=1e-9)
+    np.testing.assert_allclose(total(moment_sums(df, made.at([8, 1]), None)).mean(), a.mean()[[8, 1]], rtol=1e-12, atol=1e-12)
+    np.testing.assert_allclose(fit_lasso(held, "z", "y", 0.01).coef, fit_lasso(df, made, "y", 0.01).coef, atol=1e-7)
+    single = Derived("z", "f", ExpandedMatrix(3, single=True), 9)
+    fits = [R.fit_robust_grid(d, c, "y", [R.GridPoint(1e-2)], "fold", 2, method="wide") for d, c in ((held, "z"), (df, single))]
+    for k, m in fits[0][1].items():
+        assert abs(m.meta["objective"] - fits[1][1][k].meta["objective"]) <= R.GAP * y.std()
