@@ -543,3 +543,74 @@ def test_derived_columns_equal_stored_ones(spark):
     fits = [R.fit_robust_grid(d, c, "y", [R.GridPoint(1e-2)], "fold", 2, method="wide") for d, c in ((held, "z"), (df, single))]
     for k, m in fits[0][1].items():
         assert abs(m.meta["objective"] - fits[1][1][k].meta["objective"]) <= R.GAP * y.std()
+
+
+def test_mutual_information_sends_columns_not_products(spark, monkeypatch):
+    """A group multiplies what it is sent: far fewer columns travel than there are features, groups and jobs stay
+    under their sizes, and scores don't depend on how the groups are cut."""
+    from pulsegrid.operators import mutual_info as MI
+    i, j = np.triu_indices(80)
+    products = np.append(np.arange(80), i), np.append(np.full(80, -1), j)
+    groups = MI._groups(450_000, 3320, products)
+    np.testing.assert_array_equal(np.sort(np.concatenate([own for _, own in groups])), np.arange(3320))
+    assert sum(len(columns) + 2 for columns, _ in groups) < 3320 / 5
+    assert all(8 * 450_000 * (len(columns) + 2) <= MI.GROUP_BYTES for columns, _ in groups)
+    rng = np.random.default_rng(13)
+    X = rng.normal(size=(300, 4))
+    y = X[:, 0] * X[:, 1] + 0.1 * rng.normal(size=300)
+    df = spark.createDataFrame([(k, X[k].tolist(), float(y[k])) for k in range(300)], "k long, f array<double>, y double").persist()
+    i, j = np.triu_indices(4)
+    left, right = np.append(np.arange(4), i), np.append(np.full(4, -1), j)
+    whole = np.hstack([X, X[:, i] * X[:, j]])
+
+    def read(wide):
+        def rows(b):
+            Z = MI.feature_matrix(b, "f")
+            yield (0, np.hstack([Z, Z[:, i] * Z[:, j]]) if wide else Z, b.column("y").to_numpy(), b.column("k").to_numpy())
+        return rows
+    shift = {0: np.append(whole[0], y[0])}
+    want = MI.mi_scores_chains(df, read(True), {0: 14}, shift)[0]
+    monkeypatch.setattr(MI, "SIDE", 2)
+    monkeypatch.setattr(MI, "LOT_BYTES", 8 * 300 * 8)
+    got = MI.mi_scores_chains(df, read(False), {0: 14}, shift, products={0: (left, right)})[0]
+    np.testing.assert_allclose(got, want, rtol=1e-12, atol=1e-12)
+    cells = MI.mi_scores_chains(df, read(False), {0: 14}, shift, group=10, cell=60, products={0: (left, right)})[0]
+    np.testing.assert_allclose(cells, want, rtol=1e-9, atol=1e-9)
+    assert want.argmax() == 5      # the product of the first two
+
+
+def test_windows_write_only_the_columns_they_hold(spark, monkeypatch):
+    """The sort columns end with the sort, and the sort's shuffle files with the write."""
+    from pulsegrid.operators import windows as W
+    from pulsegrid.session import SHUFFLE_CLEANUP
+    seen, write = [], W.written
+    monkeypatch.setattr(W, "written", lambda df, name: (seen.append(df.columns), write(df, name))[1])
+    rows = [(s, float(t), f"{t % 3}", float(s * t)) for s in (1, 2) for t in range(10)]
+    df = spark.createDataFrame(rows, "s long, t double, tag string, v double")
+    got = W.cut_windows(df, "s", ["t", "tag"], ["v"], 4, label_col="v").orderBy("s", "blk").collect()
+    assert not {"t", "tag"} & set(seen[0]) and len(seen) == 1
+    assert [(r.s, r.blk, r.v, r.y) for r in got] == [
+        (s, b, [float(s * t) for t in range(4 * b, 4 * b + 4)], float(s * (4 * b + 4))) for s in (1, 2) for b in (0, 1)]
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+
+
+def test_protocol_fits_read_the_base_features(spark, monkeypatch):
+    """Part d keeps no wide column per fold: its fits derive theirs from the features, with the same values."""
+    from pulsegrid.operators.fold_chains import chain_columns, derived_columns, fit_chains
+    from pulsegrid.operators.moments import Derived, feature_matrix
+    from pulsegrid.plans import protocols as P
+    rng = np.random.default_rng(14)
+    X = rng.normal(size=(120, 6))
+    X[::9, 2] = np.nan
+    y = np.nan_to_num(X[:, 0] * X[:, 2]) + rng.normal(size=120)
+    df = spark.createDataFrame([(k, X[k].tolist(), float(y[k])) for k in range(120)], "window_id long, features array<double>, y double")
+    seen, fit = [], P.fit_robust_grid
+    monkeypatch.setattr(P, "fit_robust_grid", lambda data, cols, *a, **k: (seen.append(cols), fit(data, cols, *a, **k))[1])
+    P.train_protocol(df, "d3", names=[f"n{i}" for i in range(6)])
+    assert len(seen[0]) == 4 and all(isinstance(c, Derived) and c.source == "features" for c in seen[0].values())
+    data = df.selectExpr("window_id", "features", "y", "window_id % 2 AS fold").persist()
+    chains = fit_chains(data, [0, None], "features", "y", "fold", "window_id", 6, "f", True, 4, 9)
+    kept = chain_columns(data, chains, "features", ["window_id"], ["a", "b"]).orderBy("window_id").collect()
+    batch = data.orderBy("window_id").toArrow().combine_chunks().to_batches()[0]
+    for name, column in zip("ab", derived_columns(chains, "features", ["a", "b"])):
+        np.testing.assert_array_equal(feature_matrix(batch, column), np.array([r[name] for r in kept]))
