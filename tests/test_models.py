@@ -614,3 +614,24 @@ def test_protocol_fits_read_the_base_features(spark, monkeypatch):
     batch = data.orderBy("window_id").toArrow().combine_chunks().to_batches()[0]
     for name, column in zip("ab", derived_columns(chains, "features", ["a", "b"])):
         np.testing.assert_array_equal(feature_matrix(batch, column), np.array([r[name] for r in kept]))
+
+
+def test_chain_medians_equal_numpy(spark):
+    """Radix selection of every chain: odd and even counts, ties, signs, both zeros, infinities, missing values, an
+    empty position, rows in no fold."""
+    from pulsegrid.operators.fold_chains import Chain, _fit_medians
+    rng = np.random.default_rng(15)
+    n = 501
+    X = np.column_stack([rng.normal(size=n) * 1e-3, rng.integers(-2, 3, n), np.where(rng.random(n) < 0.5, -1e300, 1e300),
+                         np.where(rng.random(n) < 0.6, 0.0, -0.0), np.full(n, np.nan), rng.normal(size=n),
+                         np.where(np.arange(n) < 300, np.inf, 5.0)])
+    X[rng.random((n, 7)) < 0.1] = np.nan
+    fold = [None if k % 5 == 4 else k % 3 for k in range(n)]
+    df = spark.createDataFrame([(X[k].tolist(), fold[k]) for k in range(n)], "f array<double>, fold int").repartition(4).persist()
+    chains = [Chain(0), Chain(1), Chain(None)]
+    _fit_medians(df, chains, "f", "fold", 7)
+    for c in chains:
+        own = X[[c.fold is None or f != c.fold for f in fold]]
+        want = [np.median(v[~np.isnan(v)]) if (~np.isnan(v)).any() else 0.0 for v in own.T]
+        np.testing.assert_array_equal(c.medians, want)
+        assert c.missing == [4]
